@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import json
 import os
 import zlib
 from functools import lru_cache
@@ -33,6 +32,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}
 BUCKETS = 1 << 16
 #: Bytes of a word up to which it is folded by higher-order functions.
 LONG = 48
+#: Words that are folded once for the whole corpus and then known by a literal of the plan.
+FREQUENT = 1 << 15
 
 
 @lru_cache(maxsize=4)
@@ -42,17 +43,23 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
 
 
+def _literal(entries: dict[str, str]) -> Column:
+    """A hash table as a literal: one text per bucket, ";key=value;key=value;". Texts are cheap to ship with a task; maps aren't."""
+    out: list[list[str]] = [[] for _ in range(BUCKETS)]
+    for key, value in entries.items():
+        out[zlib.crc32(key.encode()) % BUCKETS].append(f"{key}={value};")
+    return F.split(F.lit("\n".join(";" + "".join(x) if x else "" for x in out)), "\n")
+
+
 @lru_cache(maxsize=4)
-def _buckets(path: str) -> str:
-    out: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for piece, rank in ranks(path).items():
-        key = piece.hex().upper()
-        out[zlib.crc32(key.encode()) % BUCKETS][key] = rank
-    return json.dumps(out, separators=(",", ":"))
+def _pieces(path: str) -> dict[str, str]:
+    return {piece.hex().upper(): str(rank) for piece, rank in ranks(path).items()}
 
 
-def _rank_literal(path: str) -> Column:
-    return F.from_json(F.lit(_buckets(path)), "array<map<string,int>>")
+def _find(table: Column, key: Column) -> Column:
+    """The value of ``key`` in a literal table, or null."""
+    return _let(F.element_at(table, (F.crc32(key.cast("binary")) % BUCKETS + 1).cast("int")), lambda bucket: _let(
+        F.instr(bucket, F.concat(F.lit(";"), key, F.lit("="))), lambda p: F.when(p > 0, F.substring_index(F.substr(bucket, p + F.length(key) + 2), ";", 1))))
 
 
 def _let(value: Column, body) -> Column:
@@ -82,15 +89,13 @@ def _merged(word: bytes, path: str) -> tuple[int, ...]:
     return tuple(table[p] for p in pieces if p is not None)
 
 
-def encoded(df: DataFrame, text: str, out: str = "ids", path: str = VOCABULARY, long: int = LONG) -> DataFrame:
-    """``df`` with the ids of ``text`` in ``out`` (array<int>, never null)."""
+def _words(text: Column) -> Column:
+    return F.coalesce(F.regexp_extract_all(text, F.lit(f"({PATTERN})"), F.lit(1)), F.array().cast("array<string>"))
 
-    @F.pandas_udf(ArrayType(ArrayType(IntegerType())))
-    def merge_long(words: pd.Series) -> pd.Series:
-        return words.map(lambda ws: None if ws is None else [list(_merged(w.encode(), path)) for w in ws])
 
-    table = _rank_literal(path)
-    rank = lambda piece: F.try_element_at(F.element_at(table, (F.crc32(piece.cast("binary")) % BUCKETS + 1).cast("int")), piece)
+def _fold(table: Column, h: Column) -> Column:
+    """The ids of a word, given as hex bytes: ranked merges folded over the array of its pieces."""
+    rank = lambda piece: _find(table, piece).cast("int")
 
     def step(acc: Column, _: Column) -> Column:
         p = acc["p"]
@@ -99,23 +104,45 @@ def encoded(df: DataFrame, text: str, out: str = "ids", path: str = VOCABULARY,
         merged = _let(joins, lambda rs: _let(F.array_min(rs), lambda m: F.when(m.isNull(), F.struct(p.alias("p"), F.lit(True).alias("done"))).otherwise(_let(F.array_position(rs, m).cast("int"), join))))
         return F.when(acc["done"] | (F.size(p) < 2), acc).otherwise(merged)
 
-    def fold(h: Column) -> Column:
-        start = F.struct(F.transform(F.sequence(F.lit(1), (F.length(h) / 2).cast("int")), lambda i: F.substring(h, i * 2 - 1, 2)).alias("p"), F.lit(False).alias("done"))
-        return F.transform(F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), (F.length(h) / 2).cast("int"))), start, step)["p"], rank)
+    n = (F.length(h) / 2).cast("int")
+    start = F.struct(F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(h, i * 2 - 1, 2)).alias("p"), F.lit(False).alias("done"))
+    return F.transform(F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), n)), start, step)["p"], rank)
+
+
+def frequent(df: DataFrame, text: str, path: str = VOCABULARY, long: int = LONG, most: int = FREQUENT) -> dict[str, str]:
+    """The ids of the ``most`` frequent words of the corpus that are no single piece, by hex bytes.
 
-    def word(w: Column) -> Column:
-        return _let(F.hex(F.encode(w, "UTF-8")), lambda h: _let(rank(h), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(fold(h))))
+    All words are counted; the bound only says how many are folded once here, and the rest are folded in their texts.
+    """
+    counts = df.select(F.explode(_words(F.col(text))).alias("w")).where(F.octet_length("w").between(2, long)).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    top = [w.encode().hex().upper() for (w,) in counts.where("n > 1").orderBy(F.desc("n"), "w").limit(most).select("w").collect()]
+    spark, pieces = df.sparkSession, _pieces(path)
+    rows = spark.createDataFrame([(h,) for h in top if h not in pieces], "h string").repartition(spark.sparkContext.defaultParallelism)
+    ids = rows.select("h", _let(_literal(pieces), lambda t: _let(F.col("h"), lambda h: _fold(t, h))).alias("ids")).collect()
+    return {h: " ".join(map(str, x)) for h, x in ids}
+
+
+def encoded(df: DataFrame, text: str, out: str = "ids", path: str = VOCABULARY, long: int = LONG, most: int = FREQUENT) -> DataFrame:
+    """``df`` with the ids of ``text`` in ``out`` (array<int>, never null)."""
+
+    @F.pandas_udf(ArrayType(ArrayType(IntegerType())))
+    def merge_long(words: pd.Series) -> pd.Series:
+        return words.map(lambda ws: None if ws is None else [list(_merged(w.encode(), path)) for w in ws])
 
-    words = F.coalesce(F.regexp_extract_all(F.col(text), F.lit(f"({PATTERN})"), F.lit(1)), F.array().cast("array<string>"))
+    known = _literal(_pieces(path) | frequent(df, text, path, long, most))
+    hexed = lambda w: F.hex(F.encode(w, "UTF-8"))
+    find = lambda w: _let(hexed(w), lambda h: _find(known, h))
     is_long = lambda w: F.octet_length(w) > long
-    split = df.withColumn("_w", words).withColumn("_u", F.array_distinct("_w"))
-    split = split.withColumn("_l", merge_long(F.filter("_u", is_long)))
-    # ids of the distinct words, those of long words taken from the UDF in order, then of all words by position
-    folded = F.transform("_u", lambda w: F.when(is_long(w), F.lit(None).cast("array<int>")).otherwise(word(w)))
-    split = split.withColumn("_f", folded).withColumn("_x", F.filter("_u", is_long))
-    lookup = lambda w: F.coalesce(F.element_at("_f", F.array_position("_u", w).cast("int")), F.element_at("_l", F.array_position("_x", w).cast("int")))
-    ids = F.when(F.size("_u") == F.size("_w"), F.flatten(F.transform("_w", lookup))).otherwise(F.flatten(F.transform("_w", lookup)))
-    return split.withColumn(out, ids).drop("_w", "_u", "_l", "_f", "_x")
+    # w: the words; r: ids of the known ones, as text; u: the others, each once. All bound by lambdas, to be evaluated once a text.
+    others = lambda w, r: F.array_distinct(F.filter(F.zip_with(w, r, lambda a, b: F.when(b.isNull(), a)), lambda x: x.isNotNull()))
+    split = _let(_words(F.col(text)), lambda w: _let(F.transform(w, find), lambda r: F.struct(w.alias("w"), r.alias("r"), others(w, r).alias("u"))))
+    rows = df.withColumn("_s", split)
+    rows = rows.withColumn("_l", merge_long(F.filter("_s.u", is_long)))
+    folded = _let(_literal(_pieces(path)), lambda t: F.transform("_s.u", lambda w: F.when(~is_long(w), _let(hexed(w), lambda h: _fold(t, h)))))
+    place = lambda a, w: F.nullif(F.array_position(a, w).cast("int"), F.lit(0))
+    other = lambda f, x, w: F.coalesce(F.try_element_at(f, place(F.col("_s.u"), w)), F.try_element_at("_l", place(x, w)))
+    ids = _let(folded, lambda f: _let(F.filter("_s.u", is_long), lambda x: F.flatten(F.zip_with("_s.w", "_s.r", lambda w, r: F.when(r.isNotNull(), F.split(r, " ").cast("array<int>")).otherwise(other(f, x, w))))))
+    return rows.withColumn(out, ids).drop("_s", "_l")
 
 
 def decoded(ids: Column, path: str = VOCABULARY) -> Column:
@@ -124,7 +151,7 @@ def decoded(ids: Column, path: str = VOCABULARY) -> Column:
     pieces = [""] * (max(table.values()) + 1)
     for p, r in table.items():
         pieces[r] = p.hex().upper()
-    literal = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
+    literal = F.split(F.lit(",".join(pieces)), ",")
     return F.decode(F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(literal, i + 1)), "")), "UTF-8")
 
 

@@ -36,21 +36,27 @@ def p5_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fusion.fused(found, "grupo_id", "fuente", "row_id")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text), spread over the cores: a few compressed megabytes are minutes of work."""
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return table(spark, sf_dir, "documents").select("doc_id", "text").repartition(parts, "doc_id")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), "text").select("doc_id", "ids")
+    return bpe.encoded(_documents(spark, sf_dir), "text").select("doc_id", "ids")
 
 
 def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether each text comes back from its ids."""
-    t = bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    t = bpe.encoded(_documents(spark, sf_dir), "text")
     return t.select("doc_id", F.size("ids").alias("tokens"), (bpe.decoded(F.col("ids")) == F.coalesce("text", F.lit(""))).alias("same"))
 
 
 def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, piece, tokens, container) of every document with tokens."""
-    t = table(spark, sf_dir, "documents").select("doc_id", "text")
+    t = _documents(spark, sf_dir)
     sizes = bpe.encoded(t, "text").select("doc_id", F.size("ids").alias("size"))
-    return packing.packed(sizes, "doc_id", "size", t.count())
+    return packing.packed(sizes, "doc_id", "size", table(spark, sf_dir, "documents").count())
 
 
 QUERIES = {
