@@ -4,12 +4,32 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """The package sent to the executors' Python once per application, so that functions in UDFs can be imported there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = Path(__file__).resolve().parent
+    out = Path(tempfile.mkdtemp(prefix="telar-")) / "telar-package.zip"
+    with zipfile.ZipFile(out, "w") as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f.relative_to(here.parent))
+    sc.addPyFile(str(out))
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The test table ``name`` below ``sf_dir``."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
