@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telar.functions.instants import zone_ids
-from telar.llm import bpe, canon, fusion, normal, packing
+from telar.llm import bpe, canon, fusion, garbled, normal, packing
 from telar.session import table
 
 
@@ -59,8 +59,17 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(sizes, "doc_id", "size", table(spark, sf_dir, "documents").count())
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return garbled.restored(_documents(spark, sf_dir), "doc_id", "text").select("doc_id")
+
+
+def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The affected documents with their text restored as far as possible."""
+    return garbled.restored(_documents(spark, sf_dir), "doc_id", "text")
+
+
 QUERIES = {
     "p1_found": p1_found, "p1_texts": p1_texts, "p3_found": p3_found, "p5_found": p5_found, "p5_fused": p5_fused,
-    "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p9_containers": p9_containers,
+    "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p9_containers": p9_containers, "p10_found": p10_found, "p10_restored": p10_restored,
 }
 SQL: dict[str, str] = {}
