@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telar.functions.instants import zone_ids
-from telar.llm import bpe, canon, fusion, garbled, normal, packing
+from telar.llm import bpe, canon, fusion, garbled, normal, packing, places
 from telar.session import table
 
 
@@ -42,6 +42,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text").repartition(parts, "doc_id")
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "event_linking").select("row_id", "calle", "numero", "colonia", "lugar", "ciudad")
+    return places.same_place(t, "row_id").select(F.col("a").alias("row_id_a"), F.col("b").alias("row_id_b"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(_documents(spark, sf_dir), "text").select("doc_id", "ids")
 
@@ -69,7 +74,7 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_texts": p1_texts, "p3_found": p3_found, "p5_found": p5_found, "p5_fused": p5_fused,
+    "p1_found": p1_found, "p1_texts": p1_texts, "p3_found": p3_found, "p5_found": p5_found, "p5_fused": p5_fused, "p7_found": p7_found,
     "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p9_containers": p9_containers, "p10_found": p10_found, "p10_restored": p10_restored,
 }
 SQL: dict[str, str] = {}
