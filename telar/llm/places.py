@@ -127,15 +127,18 @@ def compared(forms: DataFrame) -> DataFrame:
 def weights(counts: list[tuple], turns: int = TURNS) -> tuple[float, dict[str, list[float]]]:
     """(log prior odds, log ratio of each component's levels) by expectation-maximization over the counts of vectors.
 
-    Matches start out as mostly agreeing, others as mostly disagreeing; a small count for each level keeps ratios finite.
+    Matches start out as mostly agreeing, others as mostly disagreeing; these starting values stay as a prior worth a
+    twentieth of the pairs, 20 at least, so that few or one-sided pairs can't turn the classes round.
     """
     names = list(LEVELS)
     agree = {c: LEVELS[c] - 1 for c in names}
-    m = {c: [0.3 if v == 0 else 0.6 if v == agree[c] else 0.1 / max(1, LEVELS[c] - 2) for v in range(LEVELS[c])] for c in names}
-    u = {c: [0.3 if v == 0 else 0.5 if v == 1 else 0.2 / max(1, LEVELS[c] - 2) for v in range(LEVELS[c])] for c in names}
-    p = 0.2
+    m = {c: [0.3 if v == 0 else 0.01 if v == 1 else 0.55 if v == agree[c] else 0.14 for v in range(LEVELS[c])] for c in names}
+    u = {c: [0.3 if v == 0 else 0.5 if v == 1 else 0.2 / (LEVELS[c] - 2) for v in range(LEVELS[c])] for c in names}
+    p = 0.5
+    weight = max(20.0, 0.05 * sum(n for *_, n in counts))
+    pm, pu = {c: [weight * x for x in m[c]] for c in names}, {c: [weight * x for x in u[c]] for c in names}
     for _ in range(turns):
-        sm, su = {c: [1e-3] * LEVELS[c] for c in names}, {c: [1e-3] * LEVELS[c] for c in names}
+        sm, su = {c: list(pm[c]) for c in names}, {c: list(pu[c]) for c in names}
         tm = total = 0.0
         for *vector, n in counts:
             a = math.log(p) + sum(math.log(m[c][v]) for c, v in zip(names, vector))
