@@ -109,6 +109,12 @@ def _fold(table: Column, h: Column) -> Column:
     return F.transform(F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), n)), start, step)["p"], rank)
 
 
+def _short_plans(spark: SparkSession, most: int = 200_000) -> None:
+    """Keeps the literals out of the plans' descriptions, which the driver stores for every query."""
+    if int(spark.conf.get("spark.sql.maxPlanStringLength", str(2**31 - 16))) > most:
+        spark.conf.set("spark.sql.maxPlanStringLength", str(most))
+
+
 def frequent(df: DataFrame, text: str, path: str = VOCABULARY, long: int = LONG, most: int = FREQUENT) -> dict[str, str]:
     """The ids of the ``most`` frequent words of the corpus that are no single piece, by hex bytes.
 
@@ -129,6 +135,7 @@ def encoded(df: DataFrame, text: str, out: str = "ids", path: str = VOCABULARY,
     def merge_long(words: pd.Series) -> pd.Series:
         return words.map(lambda ws: None if ws is None else [list(_merged(w.encode(), path)) for w in ws])
 
+    _short_plans(df.sparkSession)
     known = _literal(_pieces(path) | frequent(df, text, path, long, most))
     hexed = lambda w: F.hex(F.encode(w, "UTF-8"))
     find = lambda w: _let(hexed(w), lambda h: _find(known, h))

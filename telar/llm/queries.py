@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from telar.functions.instants import zone_ids
 from telar.llm import bpe, canon, fusion, garbled, normal, packing, places
-from telar.session import table
+from telar.session import cut, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +59,8 @@ def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, piece, tokens, container) of every document with tokens."""
-    t = _documents(spark, sf_dir)
-    sizes = bpe.encoded(t, "text").select("doc_id", F.size("ids").alias("size"))
+    # Written before they are packed: packing names the size several times, and each would encode the text again.
+    sizes = cut(bpe.encoded(_documents(spark, sf_dir), "text").select("doc_id", F.size("ids").alias("size")))
     return packing.packed(sizes, "doc_id", "size", table(spark, sf_dir, "documents").count())
 
 
