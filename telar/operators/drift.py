@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telar.functions.instants import let
+from telar.session import cut
 
 
 @dataclass(frozen=True)
@@ -139,9 +140,10 @@ def changes(ingested: DataFrame, group: str = "feed", seq: str = "file_seq", rec
 
     kinds = ("array", "boolean", "number", "object", "string")
     inv = rows.groupBy("g", "s", "campo").agg(*[F.max(F.when(F.col("kind") == k, 1).otherwise(0)).alias(k) for k in kinds])
-    inv = inv.select("g", "s", "campo", F.concat(*[F.when(F.col(k) == 1, k[0]).otherwise("") for k in kinds]).alias("kinds"))
+    # Inventories, differences and renamings are small against the lines and used several times: each is written once.
+    inv = cut(inv.select("g", "s", "campo", F.concat(*[F.when(F.col(k) == 1, k[0]).otherwise("") for k in kinds]).alias("kinds")))
     files = base.select("g", "s").distinct()
-    pairs = _previous(files, "g", "s").where("before IS NOT NULL")
+    pairs = cut(_previous(files, "g", "s").where("before IS NOT NULL"))
 
     after = pairs.join(inv, ["g", "s"]).select("g", "s", "campo", F.col("kinds").alias("now"))
     before = pairs.join(inv.withColumnRenamed("s", "before"), ["g", "before"]).select("g", "s", "campo", F.col("kinds").alias("was"))
@@ -150,7 +152,7 @@ def changes(ingested: DataFrame, group: str = "feed", seq: str = "file_seq", rec
     objects = both.where((F.col("campo") == nested) & F.col("was").contains("o") & F.col("now").contains("o")).select("g", "s", F.lit(True).alias("open"))
     diff = both.join(objects, ["g", "s"], "left").where(~F.col("campo").startswith(nested + ".") | F.col("open")).where(
         F.col("was").isNull() | F.col("now").isNull() | ((F.col("was") != F.col("now")) & (F.col("was") != "") & (F.col("now") != "")))
-    diff = diff.withColumn("scope", F.col("campo").startswith(nested + "."))
+    diff = cut(diff.withColumn("scope", F.col("campo").startswith(nested + ".")))
 
     gone, come = diff.where("now IS NULL"), diff.where("was IS NULL")
     at = pairs.select("g", "s", "before")
@@ -164,6 +166,7 @@ def changes(ingested: DataFrame, group: str = "feed", seq: str = "file_seq", rec
     )
     best = lambda k, o: F.row_number().over(Window.partitionBy("g", "s", k).orderBy(F.desc("eq"), o))
     renamed = same.withColumn("ra", best("a", "b")).withColumn("rb", best("b", "a")).where("ra = 1 AND rb = 1").select("g", "s", "a", "b")
+    renamed = cut(renamed)
 
     one = lambda df, what, a, b: df.select("g", "s", F.lit(what).alias("cambio"), a.alias("campo_antes"), b.alias("campo_despues"))
     c, none = F.col("campo"), F.lit("")
