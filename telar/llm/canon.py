@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from telar.session import cut
+
 # Names in use that the list's aliases leave out.
 SYNONYMS = {
     "Ciudad de México": "distrito federal|df|mexico df|cd mx|mexico city",
@@ -66,14 +68,17 @@ def _readings(v: Column, clase: Column) -> Column:
 
 def mapped(values: DataFrame, ref: DataFrame) -> DataFrame:
     """(clase, v, ref_id): ``values`` (clase, v; distinct) each with the entry meant, or -1."""
-    strings = reference(ref)
+    # Distinct values and what is found for them are small and used by every later step: each is written once.
+    strings, values = cut(reference(ref)), cut(values)
     forms = values.select("clase", "v", F.inline(_readings(F.col("v"), F.col("clase")))).where("f <> ''").groupBy("clase", "v", "f").agg(F.min("p").alias("p"))
+    forms = cut(forms)
 
     exact = forms.join(strings.withColumnRenamed("s", "f"), ["clase", "f"]).groupBy("clase", "v").agg(
         F.min(F.struct("p", "w")).alias("best"), F.collect_set(F.struct("p", "w", "ref_id")).alias("all"))
     exact = exact.select("clase", "v", F.array_distinct(F.transform(F.filter("all", lambda x: (x["p"] == F.col("best.p")) & (x["w"] == F.col("best.w"))), lambda x: x["ref_id"])).alias("ids"))
+    exact = cut(exact)
 
-    open_ = forms.join(exact, ["clase", "v"], "left_anti").where(F.length("f") >= 3)
+    open_ = cut(forms.join(exact, ["clase", "v"], "left_anti").where(F.length("f") >= 3))
     k = F.when(F.length("s") < LENGTH, SHORT).otherwise(LONG)
     n, size = k + 1, F.floor(F.length("s") / (k + 1)).cast("int")
     # Segments 0..k of the string, the last with the remainder; (start, length) from its own length alone.
@@ -93,6 +98,7 @@ def mapped(values: DataFrame, ref: DataFrame) -> DataFrame:
     fuzzy = fuzzy.groupBy("clase", "v", "ref_id").agg(F.min(F.struct("d", "p")).alias("c"))
     fuzzy = fuzzy.groupBy("clase", "v").agg(F.min("c.d").alias("d"), F.collect_set(F.struct("c.d", "ref_id")).alias("all"))
     fuzzy = fuzzy.select("clase", "v", F.transform(F.filter("all", lambda x: x["d"] == F.col("d")), lambda x: x["ref_id"]).alias("ids"))
+    fuzzy = cut(fuzzy)
 
     # Abbreviated words: as many words, each a beginning or a skeleton of the name's word.
     words = lambda c: F.filter(F.split(c, " "), lambda x: ~x.isin("de", "del", "la", "el"))
@@ -103,7 +109,7 @@ def mapped(values: DataFrame, ref: DataFrame) -> DataFrame:
     short = short.groupBy("clase", "v").agg(F.collect_set("ref_id").alias("ids"))
 
     one = lambda t: t.where(F.size("ids") == 1).select("clase", "v", F.element_at("ids", 1).alias("ref_id"))
-    hit = one(exact).unionByName(one(fuzzy)).unionByName(one(short))
+    hit = cut(one(exact).unionByName(one(fuzzy)).unionByName(one(short)))
     return hit.unionByName(values.select("clase", "v").join(hit, ["clase", "v"], "left_anti").select("clase", "v", F.lit(-1).cast("bigint").alias("ref_id")))
 
 
