@@ -38,12 +38,23 @@ def index_keys(prepared: DataFrame, probe: bool) -> DataFrame:
     return prepared.where("window.start IS NOT NULL").select("supertype", "id", F.explode(keys).alias("geo_key"), days.alias("days")).select("supertype", "id", "geo_key", F.explode("days").alias("day"))
 
 
-def candidates(prepared: DataFrame) -> DataFrame:
-    """(inc, cand): records that meet under a key, the candidate with the smaller id; equi-joins only, and each pair once."""
+def candidates(prepared: DataFrame, fine: bool = False) -> DataFrame:
+    """(inc, cand): records that meet under a key, the candidate with the smaller id; equi-joins only, and each pair once.
+
+    ``fine``: only under ids of levels 6 and 7, which is all that the certain gate needs.
+    """
+    if fine:
+        return _fine_candidates(prepared)
     probe, reg = index_keys(prepared, True).withColumnRenamed("id", "inc"), index_keys(prepared, False).withColumnRenamed("id", "cand")
     return probe.join(reg, ["supertype", "geo_key", "day"]).where("cand < inc").select("inc", "cand").distinct()
 
 
+def _fine_candidates(prepared: DataFrame) -> DataFrame:
+    keep = F.col("geo_key").rlike("^l[67]:")
+    probe, reg = index_keys(prepared, True).where(keep).withColumnRenamed("id", "inc"), index_keys(prepared, False).where(keep).withColumnRenamed("id", "cand")
+    return probe.join(reg, ["supertype", "geo_key", "day"]).where("cand < inc").select("inc", "cand").distinct()
+
+
 def gated(pairs: DataFrame, prepared: DataFrame) -> DataFrame:
     """``pairs`` with ``geo_ok`` (one id path contains the other) and ``certain``: same leaf type, shared fine id (level 7
     where a date is only the publication's), windows that meet."""

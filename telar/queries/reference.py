@@ -269,19 +269,19 @@ CERTAIN = WINDOWS + f""", x AS (SELECT e.*, w.lo, w.slack, w.source FROM ev e JO
 @query("f12_certain_pairs", CERTAIN + "SELECT inc, cand FROM p")
 def _(s, d):
     r = records(s, d)
-    return linking.gated(linking.candidates(r), r).where("geo_ok AND certain").select("inc", "cand")
+    return linking.gated(linking.candidates(r, fine=True), r).where("geo_ok AND certain").select("inc", "cand")
 
 
 @query("t7_decided", CERTAIN + "SELECT inc, first(cand ORDER BY published NULLS LAST, cand) AS match FROM p GROUP BY inc")
 def _(s, d):
     r = records(s, d)
-    return linking.decided(linking.gated(linking.candidates(r), r))
+    return linking.decided(linking.gated(linking.candidates(r, fine=True), r))
 
 
 @query("t2_capped", CERTAIN + "SELECT inc, cand, rank FROM (SELECT inc, cand, row_number() OVER (PARTITION BY inc ORDER BY published DESC NULLS LAST, cand) AS rank FROM p) WHERE rank <= 12")
 def _(s, d):
     r = records(s, d)
-    return linking.capped(linking.gated(linking.candidates(r), r).where("geo_ok AND certain")).select("inc", "cand", "rank")
+    return linking.capped(linking.gated(linking.candidates(r, fine=True), r).where("geo_ok AND certain")).select("inc", "cand", "rank")
 
 
 @query("a6_canonical", """
