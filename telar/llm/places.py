@@ -1,9 +1,11 @@
 """Which address records denote the same place, by probabilistic record linkage.
 
 Addresses become components (street, number, neighbourhood, city, venue and its kind), whatever the order, abbreviation
-or field they were written in. Records with equal components are one form. Forms are compared only within blocks: halves
-of the sound of street, venue or city, combined with each other or with the number, so that a slip of the pen spoils one
-key and leaves another. Each pair of forms has a vector of agreement levels, missing values being a level of their own.
+or field they were written in. Records with equal components are one form. Forms are compared in two ways: every pair that
+the rules admit, by joins with tables of near values (street or venue near, city and number near, equal or missing), and
+pairs that share a block: halves of the sound of street, venue or city, combined with each other or with the number. The
+blocks also hold pairs that differ, and alone would lose pairs, as a letter dropped or swapped can change both halves.
+Each pair of forms has a vector of agreement levels, missing values being a level of their own.
 Expectation-maximization over the counts of the vectors (a bounded table: at most the product of the levels) estimates
 how often each level occurs among matches and among others; the sum of log ratios is the linkage weight.
 
@@ -104,8 +106,47 @@ def _flat(a: Column, b: Column) -> Column:
     return F.when(a.isNull() | b.isNull(), 0).when(a == b, 2).otherwise(1)
 
 
+def near_values(values: DataFrame, name: str) -> DataFrame:
+    """(name, near): the distinct values of ``name``, each with all that ``_near`` calls near or equal, itself included.
+
+    The shorter value is cut into one segment more than the edits its length allows, so one segment is left whole in
+    the longer value, shifted by no more than the edits before and after it allow; nothing near is lost.
+    """
+    v = values.select(F.col(name).alias("v")).where(F.col(name).isNotNull()).distinct()
+    edits = lambda n: f"CASE WHEN {n} < 5 THEN 1 WHEN {n} < 9 THEN 2 ELSE 3 END"
+    first = lambda n, k, i: f"({i} * ({n} DIV ({k} + 1)) + greatest(0, {i} - ({k} + 1 - {n} % ({k} + 1))))"
+    size = lambda n, k, i: f"({n} DIV ({k} + 1) + CASE WHEN {i} >= {k} + 1 - {n} % ({k} + 1) THEN 1 ELSE 0 END)"
+    short = v.selectExpr("v AS a", "length(v) AS n", f"{edits('length(v)')} AS k").selectExpr("*", "explode(sequence(0, k)) AS i")
+    short = short.selectExpr("a", "n", "i", f"substring(a, CAST({first('n', 'k', 'i')} + 1 AS int), CAST({size('n', 'k', 'i')} AS int)) AS part")
+    long = v.selectExpr("v AS b", "explode(sequence(0, 3)) AS d").selectExpr("b", "d", "length(b) - d AS n").where("n > 0")
+    long = long.selectExpr("*", f"{edits('n')} AS k").where("d <= k").selectExpr("*", "explode(sequence(0, k)) AS i")
+    long = long.selectExpr("b", "d", "n", "k", "i", f"CAST({first('n', 'k', 'i')} AS int) AS p", f"CAST({size('n', 'k', 'i')} AS int) AS z").selectExpr("*", "greatest(0, p - i, p + d - (k - i)) AS lo", "least(n + d - z, p + i, p + d + (k - i)) AS hi")
+    long = long.where("lo <= hi").selectExpr("b", "n", "i", "explode(sequence(lo, hi)) AS at", "z").selectExpr("b", "n", "i", "substring(b, at + 1, z) AS part")
+    met = short.join(long, ["n", "i", "part"]).where(_near(F.col("a"), F.col("b")) >= 2).select("a", "b")
+    return met.union(met.select("b", "a")).distinct().toDF(name, "near")
+
+
+def admitted(forms: DataFrame) -> DataFrame:
+    """(i, j) of all pairs with a near street or venue whose cities and numbers are near, equal or missing, i < j."""
+    cities = cut(near_values(forms, "city"))
+    out = None
+    for name in ("street", "venue"):
+        near = cut(near_values(forms, name))
+        left = forms.where(F.col(name).isNotNull()).select(F.col("form").alias("i"), name, "city", "number").join(near, name).drop(name).withColumnRenamed("near", name)
+        right = forms.where(F.col(name).isNotNull()).select(F.col("form").alias("j"), name, "city", "number")
+        city = left.drop("number").join(cities, "city").drop("city").withColumnRenamed("near", "city").join(right.drop("number"), [name, "city"])
+        number = left.drop("city").join(right.drop("city"), [name, "number"])
+        # A city and a number missing, in one form or one in each.
+        bare = left.where("city IS NULL AND number IS NULL").select("i", name).join(right.select("j", name), name)
+        each = left.where("city IS NULL").select("i", name).join(right.where("number IS NULL").select("j", name), name)
+        for met in (city, number, bare, each):
+            met = met.where("i <> j").select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
+            out = met if out is None else out.union(met)
+    return out
+
+
 def compared(forms: DataFrame) -> DataFrame:
-    """(i, j, level of each component) of the pairs of forms that share a block, i < j."""
+    """(i, j, level of each component) of the pairs of forms that the rules can admit or that share a block, i < j."""
     main = F.when(F.col("city").isNotNull(), _longest(F.col("city")))
     k = forms.withColumns({"hs": _halves(F.col("street")), "hv": _halves(_longest(F.col("venue"))), "hc": _halves(main)})
     cross = lambda tag, a, b: F.flatten(F.transform(a, lambda x: F.transform(b, lambda y: F.concat_ws("|", F.lit(tag), x, y))))
@@ -116,7 +157,7 @@ def compared(forms: DataFrame) -> DataFrame:
         F.when(F.col("venue").isNotNull(), F.array(F.concat(F.lit("v|"), _sound(F.col("venue"))))),
     ))))
     block = k.select("form", F.explode(F.array_compact(keys)).alias("block"))
-    pairs = block.select(F.col("form").alias("i"), "block").join(block.select(F.col("form").alias("j"), "block"), "block").where("i < j").select("i", "j").distinct()
+    pairs = block.select(F.col("form").alias("i"), "block").join(block.select(F.col("form").alias("j"), "block"), "block").where("i < j").select("i", "j").union(admitted(forms)).distinct()
     cols = ("street", "number", "colonia", "city", "venue", "kind")
     side = lambda name, p: forms.select(F.col("form").alias(name), *[F.col(c).alias(p + c) for c in cols])
     both = pairs.join(side("i", "a_"), "i").join(side("j", "b_"), "j")

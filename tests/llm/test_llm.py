@@ -71,6 +71,31 @@ def test_places(spark):
     assert all((100 + 2 * i, 101 + 2 * i) in got for i in range(60))
 
 
+def test_places_single_edits_are_compared(spark):
+    # Street and city (venue and city) with one edit each, at every position of words of even and odd length, no number.
+    edits = lambda w: {*(w[:i] + "q" + w[i:] for i in range(len(w) + 1)), *(w[:i] + w[i + 1:] for i in range(len(w))), *(w[:i] + "q" + w[i + 1:] for i in range(len(w))), *(w[:i] + w[i + 1] + w[i] + w[i + 2:] for i in range(len(w) - 1))} - {w}
+    schema = "form bigint, street string, number string, colonia string, city string, venue string, kind string"
+    for word, city in (("sedridian", "govachan"), ("govachan", "sedridian")):
+        cities = sorted(edits(city))
+        slips = [(w, cities[i % len(cities)]) for i, w in enumerate(sorted(edits(word)))]
+        for street in (True, False):
+            rows = [(i, w if street else None, None, None, c, None if street else w, None) for i, (w, c) in enumerate([(word, city), *slips])]
+            got = {r.j for r in places.compared(spark.createDataFrame(rows, schema)).where("i = 0").collect()}
+            assert got == set(range(1, len(rows)))
+
+
+def test_places_near_values_and_missing_parts(spark):
+    rng = np.random.default_rng(3)
+    words = sorted({"".join(rng.choice(list("ab"), rng.integers(1, 14))) for _ in range(150)})
+    df = spark.createDataFrame([(w,) for w in words], "v string")
+    got = {(r.v, r.near) for r in places.near_values(df, "v").collect()}
+    want = df.crossJoin(df.withColumnRenamed("v", "w")).where(places._near(F.col("v"), F.col("w")) >= 2).collect()
+    assert got == {(r.v, r.w) for r in want}
+    rows = [(1, "tolstoy", "5", None, None, None, None), (2, "tolstoi", None, None, "zamora", None, None), (3, "tolstoy", None, None, None, None, None), (4, "tolstoy", "6", None, None, None, None)]
+    forms = spark.createDataFrame(rows, "form bigint, street string, number string, colonia string, city string, venue string, kind string")
+    assert {tuple(r) for r in places.admitted(forms).collect()} == {(1, 2), (1, 3), (2, 3), (2, 4), (3, 4)}
+
+
 needs_vocabulary = pytest.mark.skipif(importlib.util.find_spec("tiktoken") is None, reason="tiktoken")
 
 
