@@ -14,7 +14,8 @@ that holds a third of all rows costs a row per distinct value and source. The ta
 are as long as the numbers of sources, and joined, not broadcast by force.
 
 Defined results: a null group is no group; a group of one record has no survivor; a field without any claim has no row;
-null trust is lowest, null time earliest; ties end at the lowest record key; equal records are all members.
+null trust is lowest, null time earliest; a claim without a source is a source of its own, with the starting accuracy and
+no copying; ties end at the lowest record key; equal records are all members.
 """
 
 from __future__ import annotations
@@ -42,9 +43,12 @@ def says(value: Column) -> Column:
 
 
 def claims(df: DataFrame, group: str, record: str, fields: dict[str, Column], keep: list[str]) -> DataFrame:
-    """(group, campo, valor, record, *keep) of every value that says something. ``fields`` gives each field's condition."""
+    """(group, campo, valor, record, *keep) of every value that says something, in groups of two or more records. ``fields``
+    gives each field's condition."""
     items = [F.struct(F.lit(f).alias("campo"), F.when(ok, F.col(f)).alias("valor")) for f, ok in fields.items()]
-    return df.where(F.col(group).isNotNull()).select(group, record, *keep, F.inline(F.array(*items))).where("valor IS NOT NULL")
+    rows = df.where(F.col(group).isNotNull())
+    several = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(group)
+    return rows.join(several, group, "left_semi").select(group, record, *keep, F.inline(F.array(*items))).where("valor IS NOT NULL")
 
 
 def event_fields(zones: list[str]) -> dict[str, Column]:
@@ -68,17 +72,19 @@ def fused(found: DataFrame, group: str, source: str, record: str, turns: int = 3
     the probability that a copier copies a value, ``accuracy`` the accuracy sources start with.
     """
     value = F.lower(F.trim("valor"))
-    votes = cut(found.where(F.col(source).isNotNull()).groupBy(group, "campo", value.alias("v"), F.col(source).alias("s")).agg(F.min(record).alias("record")))
-    acc = votes.groupBy("s").agg(F.lit(accuracy).alias("a"))
+    # Claims of no source are as many votes as there are records, in one row; those of a source are one vote.
+    votes = cut(found.groupBy(group, "campo", value.alias("v"), F.col(source).alias("s")).agg(F.min(record).alias("record"), F.count(F.lit(1)).alias("n")).withColumn("n", F.when(F.col("s").isNull(), F.col("n")).otherwise(1)))
+    acc = votes.where("s IS NOT NULL").groupBy("s").agg(F.lit(accuracy).alias("a"))
     pair = None
     for _ in range(turns):
-        w = votes.join(acc, "s").withColumn("weight", F.log(F.lit(float(wrong)) * F.col("a") / (1 - F.col("a"))))
+        w = votes.join(acc, "s", "left").withColumn("a", F.coalesce("a", F.lit(accuracy))).withColumn("weight", F.col("n") * F.log(F.lit(float(wrong)) * F.col("a") / (1 - F.col("a"))))
         if pair is None:
             counted = w.withColumn("free", F.lit(1.0))
         else:
             # A vote counts by the probability that none of the better sources with the same value was its model.
-            other = w.select(group, "campo", "v", F.col("s").alias("o"), F.col("a").alias("ao"))
-            free = w.join(other, [group, "campo", "v"], "left").where("o IS NULL OR o <> s").join(pair, ["s", "o"], "left")
+            named = w.where("s IS NOT NULL")
+            other = named.select(group, "campo", "v", F.col("s").alias("o"), F.col("a").alias("ao"))
+            free = named.join(other, [group, "campo", "v"], "left").where("o IS NULL OR o <> s").join(pair, ["s", "o"], "left")
             free = free.where("ao > a OR (ao = a AND o < s)").groupBy(group, "campo", "v", "s").agg(F.exp(F.sum(F.log1p(-F.lit(copying) * F.coalesce("p", F.lit(0.0))))).alias("free"))
             counted = w.join(free, [group, "campo", "v", "s"], "left").withColumn("free", F.coalesce("free", F.lit(1.0)))
         score = counted.groupBy(group, "campo", "v").agg(F.sum(F.col("weight") * F.col("free")).alias("score"), F.min("record").alias("record"))
@@ -88,7 +94,7 @@ def fused(found: DataFrame, group: str, source: str, record: str, turns: int = 3
         total = shifted.groupBy(group, "campo").agg((F.sum(F.exp(F.col("score") - F.col("m"))) + F.greatest(F.lit(wrong + 1) - F.count(F.lit(1)), F.lit(0)) * F.exp(-F.first("m"))).alias("z"))
         post = shifted.join(total, [group, "campo"]).select(group, "campo", "v", "record", (F.exp(F.col("score") - F.col("m")) / F.col("z")).alias("posterior"))
         post = cut(post)
-        judged = votes.join(post.drop("record"), [group, "campo", "v"])
+        judged = votes.where("s IS NOT NULL").join(post.drop("record"), [group, "campo", "v"])
         acc = cut(judged.groupBy("s").agg(F.least(F.greatest(F.avg("posterior"), F.lit(0.05)), F.lit(0.95)).alias("a")))
         # Dependence: values shared by two sources, split into probably true (kt) and false (kf), and differing ones (kd).
         x, y = judged.select(group, "campo", F.col("v").alias("vx"), F.col("s"), F.col("posterior")), judged.select(group, "campo", F.col("v").alias("vy"), F.col("s").alias("o"))

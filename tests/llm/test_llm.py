@@ -54,6 +54,14 @@ def test_fused_discounts_copies(spark):
     assert got[0] == "t" and all(got[g] == f"t{g}" for g in range(1, 30))
 
 
+def test_fused_without_source_and_single_records(spark):
+    rows = [(1, 1, "Agotado", None), (2, 1, "Agotado", None), (3, 1, "Abierto", "s"), (4, 2, "Solo", "s"), (5, 3, "Cerrado", None), (6, 3, None, "s")]
+    df = spark.createDataFrame(rows, "row_id bigint, g bigint, estatus string, fuente string")
+    found = fusion.claims(df, "g", "row_id", {"estatus": fusion.says(F.col("estatus"))}, ["fuente"])
+    got = {(x.g, x.valor, x.row_id) for x in fusion.fused(found, "g", "fuente", "row_id").collect()}
+    assert got == {(1, "agotado", 1), (3, "cerrado", 5)}
+
+
 def test_places(spark):
     rows = [
         (1, "Av. Tolstoy 120", None, "Col. Centro", "Teatro Lermontov del Río", "Villa Ñuño"), (2, "TOLSTOY", "#120", None, None, "villa nuño, Jal."), (3, "120 Avenida Tolstoi, col. Centro", None, None, "Tto. Lermontov del Rio", None),
