@@ -27,25 +27,32 @@ def prepare(records: DataFrame) -> DataFrame:
     return records.withColumns({"window": w, "row": geo.cell(F.col("lat")), "col": geo.cell(F.col("lon"))})
 
 
-def _levels(prefix: str = "") -> dict:
-    return {n: F.col(f"{prefix}level_{n}_id") for n in LEVELS}
+def _levels(df: DataFrame, prefix: str = "") -> dict:
+    """The place ids that ``df`` has, of all levels of the geocoder."""
+    return {n: F.col(f"{prefix}level_{n}_id") for n in geo.LEVELS if f"level_{n}_id" in df.columns}
 
 
-def index_keys(prepared: DataFrame, probe: bool) -> DataFrame:
-    """(supertype, geo_key, day, id) under which a record is registered, or probed."""
-    keys = geo.geo_keys(_levels(), F.col("row"), F.col("col"), F.col("state"), probe)
+def index_keys(prepared: DataFrame, probe: bool, publication: bool = False) -> DataFrame:
+    """(supertype, geo_key, day, id) under which a record is registered, or probed; with ``publication`` also the days
+    around its publication."""
+    keys = geo.geo_keys(_levels(prepared), F.col("row"), F.col("col"), F.col("state"), probe)
     days = geo.day_keys(F.col("window.start"), F.col("window.end"), F.col("window.slack"))
+    if publication:
+        slack = F.lit(LinkConfig.slack_publication)
+        days = F.array_distinct(F.concat(days, F.when(F.col("published").isNotNull(), geo.day_keys(F.col("published"), F.col("published"), slack)).otherwise(F.array().cast("array<date>"))))
     return prepared.where("window.start IS NOT NULL").select("supertype", "id", F.explode(keys).alias("geo_key"), days.alias("days")).select("supertype", "id", "geo_key", F.explode("days").alias("day"))
 
 
 def candidates(prepared: DataFrame, fine: bool = False) -> DataFrame:
     """(inc, cand): records that meet under a key, the candidate with the smaller id; equi-joins only, and each pair once.
 
+    A record probes the days of its window and is registered under these and the days around its publication.
+
     ``fine``: only under ids of levels 6 and 7, which is all that the certain gate needs.
     """
     if fine:
         return _fine_candidates(prepared)
-    probe, reg = index_keys(prepared, True).withColumnRenamed("id", "inc"), index_keys(prepared, False).withColumnRenamed("id", "cand")
+    probe, reg = index_keys(prepared, True).withColumnRenamed("id", "inc"), index_keys(prepared, False, publication=True).withColumnRenamed("id", "cand")
     return probe.join(reg, ["supertype", "geo_key", "day"]).where("cand < inc").select("inc", "cand").distinct()
 
 
@@ -58,12 +65,12 @@ def _fine_candidates(prepared: DataFrame) -> DataFrame:
 def gated(pairs: DataFrame, prepared: DataFrame) -> DataFrame:
     """``pairs`` with ``geo_ok`` (one id path contains the other) and ``certain``: same leaf type, shared fine id (level 7
     where a date is only the publication's), windows that meet."""
-    cols = ["event_type", "window", "published", *[f"level_{n}_id" for n in LEVELS]]
+    cols = ["event_type", "window", "published", *[f"level_{n}_id" for n in _levels(prepared)]]
     side = lambda k, p: prepared.select(F.col("id").alias(k), *[F.col(c).alias(p + c) for c in cols])
     j = pairs.join(side("inc", "a_"), "inc").join(side("cand", "b_"), "cand")
     fine = (F.col("a_level_7_id") == F.col("b_level_7_id")) | ((F.col("a_level_6_id") == F.col("b_level_6_id")) & (F.col("a_window.source") == "extracted") & (F.col("b_window.source") == "extracted"))
     meet = geo.overlaps(F.col("a_window.start"), F.col("a_window.end"), F.col("a_window.slack"), F.col("b_window.start"), F.col("b_window.end"))
-    return j.select("inc", "cand", F.col("b_published").alias("published"), geo.compatible(_levels("a_"), _levels("b_")).alias("geo_ok"),
+    return j.select("inc", "cand", F.col("b_published").alias("published"), geo.compatible(_levels(prepared, "a_"), _levels(prepared, "b_")).alias("geo_ok"),
                     F.coalesce((F.col("a_event_type") == F.col("b_event_type")) & fine & meet, F.lit(False)).alias("certain"))
 
 
@@ -78,6 +85,12 @@ def decided(pairs: DataFrame) -> DataFrame:
     return pairs.where("geo_ok AND certain").groupBy("inc").agg(F.min(F.struct(F.col("published").isNull().alias("n"), "published", "cand")).alias("m")).select("inc", F.col("m.cand").alias("match"))
 
 
+def referred(pairs: DataFrame, cap: int = LinkConfig.cap) -> DataFrame:
+    """``capped`` geo-compatible candidates of the incoming records without a certain match, as they go to adjudication."""
+    fit = pairs.where("geo_ok")
+    return capped(fit.join(fit.where("certain").select("inc").distinct(), "inc", "left_anti"), cap)
+
+
 def canonical(members: DataFrame) -> DataFrame:
     """One canonical record per ``link_id``: first filled name and status by (seq), earliest publication, the window of the
     best precision (null counts as 0, ties the earliest seen), the location of the highest level, all sources once."""

@@ -284,6 +284,17 @@ def _(s, d):
     return linking.capped(linking.gated(linking.candidates(r, fine=True), r).where("geo_ok AND certain")).select("inc", "cand", "rank")
 
 
+@query("j3_candidates")
+def _(s, d):
+    return linking.candidates(records(s, d))
+
+
+@query("t2_referred")
+def _(s, d):
+    r = records(s, d)
+    return linking.referred(linking.gated(linking.candidates(r), r)).select("inc", "cand", "rank")
+
+
 @query("a6_canonical", """
     WITH m AS (SELECT grupo_id AS link_id, row_id AS seq, nullif(trim(nombre), '') AS name, nullif(trim(estatus), '') AS status, extraido_at AS published, fuente AS source_id FROM event_linking WHERE grupo_id IS NOT NULL)
     SELECT link_id, first(name ORDER BY seq) FILTER (name IS NOT NULL) AS name, first(status ORDER BY seq) FILTER (status IS NOT NULL) AS status, min(published) AS published,
