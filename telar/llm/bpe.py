@@ -1,13 +1,16 @@
 """Encoding of a whole corpus by a byte-level BPE vocabulary, with Spark's higher-order functions.
 
-The vocabulary file's ranks become one literal of the plan: an array of buckets, each a tiny map from a piece (its
-bytes in hex) to its rank, addressed by CRC-32, so that a lookup costs one hash instead of a scan of 50,000 keys. A text
-is split by the vocabulary's pattern; each distinct word of the text is looked up as a whole, and else folded: its bytes
-are an array of pieces, and each step of ``aggregate`` joins the adjacent pair of lowest rank, leftmost first. Words go
-back in order. There is no shuffle: the work follows the text, whatever its source or its words' frequencies.
+A text is split by the vocabulary's pattern. The distinct words of the corpus are counted (combined in each task before
+the shuffle, which carries distinct words only), and the most frequent are folded once: a word's bytes are an array of
+pieces, and each step of ``aggregate`` joins the adjacent pair of lowest rank, leftmost first. They become a literal of
+the plan: two arrays addressed by a hash of the word, where each word has two places (a cuckoo table), so that a lookup is
+a hash and two comparisons. Words outside that table are folded in their texts, each once a text. Words go back in order.
+Texts are never shuffled: the work follows the scan's splits.
+
+The vocabulary's ranks are a literal too: an array of buckets, each a text of pieces (their bytes in hex) with ranks.
 
 Words longer than ``LONG`` bytes, where the fold's quadratic cost would show, are merged over a heap in an Arrow UDF
-with the same result.
+with the same result; the UDF is in the plan only where the counts hold such a word.
 
 Defined results: null and empty texts have an empty list; strings that look like special tokens are ordinary text;
 texts of any length are encoded whole.
@@ -17,18 +20,23 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
 import os
 import zlib
 from functools import lru_cache
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
+from telar.session import cut
+
 VOCABULARY = os.environ.get("TELAR_TOKENIZERS", "/opt/tokenizers") + "/byte_bpe_50k.tiktoken"
-#: The vocabulary's pattern (a fixed value), with Java's names for letters, numbers and white space.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+"
+#: The vocabulary's pattern (a fixed value), with Java's names for letters, numbers and white space; letters, the most
+#: frequent, are tried first, as no other branch begins like them.
+PATTERN = r" ?\p{L}++|'(?:[stmd]|re|ve|ll)| ?\p{N}++| ?[^\p{IsWhite_Space}\p{L}\p{N}]++|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+"
 BUCKETS = 1 << 16
 #: Bytes of a word up to which it is folded by higher-order functions.
 LONG = 48
@@ -90,7 +98,47 @@ def _merged(word: bytes, path: str) -> tuple[int, ...]:
 
 
 def _words(text: Column) -> Column:
-    return F.coalesce(F.regexp_extract_all(text, F.lit(f"({PATTERN})"), F.lit(1)), F.array().cast("array<string>"))
+    return F.coalesce(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), F.array().cast("array<string>"))
+
+
+class _Table:
+    """Words with their ids as literal arrays, each word in one of the two places that its hash names."""
+
+    def __init__(self, words: dict[str, list[int]]):
+        bits = 10
+        while (slots := self._placed(words, bits)) is None:
+            bits += 1
+        self._mask = (1 << bits) - 1
+        self._keys = F.from_json(F.lit(json.dumps([w or "" for w in slots], ensure_ascii=False)), "array<string>")
+        self._ids = F.from_json(F.lit(json.dumps([words[w] if w else [] for w in slots])), "array<array<int>>")
+
+    @staticmethod
+    def _placed(words: dict[str, list[int]], bits: int) -> list[str | None] | None:
+        """The word of each place, or None where they don't fit: a word that finds its place taken moves the other to its second."""
+        if len(words) > 0.4 * (1 << bits):
+            return None
+        slots: list[str | None] = [None] * (1 << bits)
+        mask = len(slots) - 1
+        for word in words:
+            at = xxhash.xxh64_intdigest(word.encode(), 42) & mask
+            for _ in range(500):
+                word, slots[at] = slots[at], word
+                if word is None:
+                    break
+                h = xxhash.xxh64_intdigest(word.encode(), 42)
+                at = (h >> 24) & mask if at == h & mask else h & mask
+            else:
+                return None
+        return slots
+
+    def ids(self, words: Column) -> Column:
+        """The ids of each of ``words``, null where the table lacks it."""
+
+        def look(w: Column, h: Column) -> Column:
+            one, two = (x.bitwiseAND(F.lit(self._mask)).cast("int") for x in (h, F.shiftright(h, 24)))
+            return F.when(F.get(self._keys, one) == w, F.get(self._ids, one)).when(F.get(self._keys, two) == w, F.get(self._ids, two))
+
+        return F.zip_with(words, F.transform(words, lambda w: F.xxhash64(w)), look)
 
 
 def _fold(table: Column, h: Column) -> Column:
@@ -115,17 +163,18 @@ def _short_plans(spark: SparkSession, most: int = 200_000) -> None:
         spark.conf.set("spark.sql.maxPlanStringLength", str(most))
 
 
-def frequent(df: DataFrame, text: str, path: str = VOCABULARY, long: int = LONG, most: int = FREQUENT) -> dict[str, str]:
-    """The ids of the ``most`` frequent words of the corpus that are no single piece, by hex bytes.
+def frequent(df: DataFrame, text: str, path: str = VOCABULARY, long: int = LONG, most: int = FREQUENT) -> tuple[dict[str, list[int]], bool]:
+    """The ids of the ``most`` frequent words of the corpus, and whether it has words of over ``long`` bytes.
 
     All words are counted; the bound only says how many are folded once here, and the rest are folded in their texts.
     """
-    counts = df.select(F.explode(_words(F.col(text))).alias("w")).where(F.octet_length("w").between(2, long)).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    top = [w.encode().hex().upper() for (w,) in counts.where("n > 1").orderBy(F.desc("n"), "w").limit(most).select("w").collect()]
     spark, pieces = df.sparkSession, _pieces(path)
-    rows = spark.createDataFrame([(h,) for h in top if h not in pieces], "h string").repartition(spark.sparkContext.defaultParallelism)
-    ids = rows.select("h", _let(_literal(pieces), lambda t: _let(F.col("h"), lambda h: _fold(t, h))).alias("ids")).collect()
-    return {h: " ".join(map(str, x)) for h, x in ids}
+    words = cut(df.select(F.explode(_words(F.col(text))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")))
+    top = [w for (w,) in words.where(F.octet_length("w") <= long).orderBy(F.desc("n"), "w").limit(most).select("w").collect()]
+    hexed = {w: w.encode().hex().upper() for w in top}
+    rows = spark.createDataFrame([(w, h) for w, h in hexed.items() if h not in pieces], "w string, h string").repartition(spark.sparkContext.defaultParallelism)
+    folded = dict(rows.select("w", _let(_literal(pieces), lambda t: _let(F.col("h"), lambda h: _fold(t, h))).alias("ids")).collect())
+    return {w: list(folded[w]) if w in folded else [int(pieces[h])] for w, h in hexed.items()}, not words.where(F.octet_length("w") > long).isEmpty()
 
 
 def encoded(df: DataFrame, text: str, out: str = "ids", path: str = VOCABULARY, long: int = LONG, most: int = FREQUENT) -> DataFrame:
@@ -136,20 +185,26 @@ def encoded(df: DataFrame, text: str, out: str = "ids", path: str = VOCABULARY,
         return words.map(lambda ws: None if ws is None else [list(_merged(w.encode(), path)) for w in ws])
 
     _short_plans(df.sparkSession)
-    known = _literal(_pieces(path) | frequent(df, text, path, long, most))
-    hexed = lambda w: F.hex(F.encode(w, "UTF-8"))
-    find = lambda w: _let(hexed(w), lambda h: _find(known, h))
-    is_long = lambda w: F.octet_length(w) > long
-    # w: the words; r: ids of the known ones, as text; u: the others, each once. All bound by lambdas, to be evaluated once a text.
-    others = lambda w, r: F.array_distinct(F.filter(F.zip_with(w, r, lambda a, b: F.when(b.isNull(), a)), lambda x: x.isNotNull()))
-    split = _let(_words(F.col(text)), lambda w: _let(F.transform(w, find), lambda r: F.struct(w.alias("w"), r.alias("r"), others(w, r).alias("u"))))
-    rows = df.withColumn("_s", split)
-    rows = rows.withColumn("_l", merge_long(F.filter("_s.u", is_long)))
-    folded = _let(_literal(_pieces(path)), lambda t: F.transform("_s.u", lambda w: F.when(~is_long(w), _let(hexed(w), lambda h: _fold(t, h)))))
+    known, any_long = frequent(df, text, path, long, most)
+    table, pieces = _Table(known), _literal(_pieces(path))
+    long_ones = lambda w: F.array_distinct(F.filter(w, lambda x: F.octet_length(x) > long))
+    rows = df
+    if any_long:  # only texts with a run of as many characters of one class can hold one
+        run = "{%d}" % max(1, (long - 1) // 4)
+        maybe = F.col(text).rlike(rf"\p{{L}}{run}|\p{{N}}{run}|[^\p{{IsWhite_Space}}\p{{L}}\p{{N}}]{run}|\p{{IsWhite_Space}}{run}")
+        rows = df.withColumn("_long", merge_long(F.when(maybe, long_ones(_words(F.col(text))))))
+
+    # w: the words; r: the ids of the known ones; u: the others, each once. Bound by lambdas, to be evaluated once a text.
     place = lambda a, w: F.nullif(F.array_position(a, w).cast("int"), F.lit(0))
-    other = lambda f, x, w: F.coalesce(F.try_element_at(f, place(F.col("_s.u"), w)), F.try_element_at("_l", place(x, w)))
-    ids = _let(folded, lambda f: _let(F.filter("_s.u", is_long), lambda x: F.flatten(F.zip_with("_s.w", "_s.r", lambda w, r: F.when(r.isNotNull(), F.split(r, " ").cast("array<int>")).otherwise(other(f, x, w))))))
-    return rows.withColumn(out, ids).drop("_s", "_l")
+
+    def rest(w: Column, r: Column) -> Column:
+        fold = lambda x: F.when(F.octet_length(x) <= long, _let(F.hex(F.encode(x, "UTF-8")), lambda h: _fold(pieces, h)))
+        merged = lambda x: F.try_element_at("_long", place(long_ones(w), x)) if any_long else F.lit(None).cast("array<int>")
+        others = F.array_distinct(F.filter(w, lambda x, i: F.get(r, i).isNull()))
+        return _let(others, lambda u: _let(F.transform(u, fold), lambda f: F.flatten(F.transform(w, lambda x, i: F.coalesce(F.get(r, i), F.try_element_at(f, place(u, x)), merged(x))))))
+
+    ids = _let(_words(F.col(text)), lambda w: _let(table.ids(w), lambda r: F.when(F.exists(r, lambda x: x.isNull()), rest(w, r)).otherwise(F.flatten(r))))
+    return rows.withColumn(out, ids).drop("_long")
 
 
 def decoded(ids: Column, path: str = VOCABULARY) -> Column:

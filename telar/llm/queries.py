@@ -37,9 +37,7 @@ def p5_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, text), spread over the cores: a few compressed megabytes are minutes of work."""
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    return table(spark, sf_dir, "documents").select("doc_id", "text").repartition(parts, "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
