@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -36,22 +37,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor can reach, for checkpoints and written tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (local tests)
-    a temporary folder of this machine is used.
+    The cluster names it in ``spark.checkpoint.dir``. Only in local mode, where that may be unset, a temporary folder of
+    this machine is used; elsewhere an unset one is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that every executor can reach")
         path = os.path.join(tempfile.gettempdir(), "telar-checkpoints")
         spark.conf.set("spark.checkpoint.dir", path)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read again, its lineage cut."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as Parquet to the shared folder and read again: its lineage is cut, a lost executor loses nothing of
+    it, and later steps prune its columns and know its size. ``dropped`` removes it."""
+    path = f"{shared_dir(df.sparkSession)}/telar-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dropped(df: DataFrame) -> None:
+    """Removes the files of a ``cut`` table that no later step reads."""
+    spark = df.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        if path.getName().startswith("telar-"):
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def local_session(cores: str = "8", app: str = "telar", **conf: str) -> SparkSession:
