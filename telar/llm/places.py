@@ -2,7 +2,7 @@
 
 Addresses become components (street, number, neighbourhood, city, venue and its kind), whatever the order, abbreviation
 or field they were written in. Records with equal components are one form. Forms are compared in two ways: every pair that
-the rules admit, by joins with tables of near values (street or venue near, city and number near, equal or missing), and
+the rules admit, by joins on families of near values (street or venue near, city and number near, equal or missing), and
 pairs that share a block: halves of the sound of street, venue or city, combined with each other or with the number. The
 blocks also hold pairs that differ, and alone would lose pairs, as a letter dropped or swapped can change both halves.
 Each pair of forms has a vector of agreement levels, missing values being a level of their own.
@@ -20,12 +20,13 @@ pairs; the smaller key comes first; empty tables give none.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telar.functions.instants import let
-from telar.session import cut
+from telar.session import cut, dropped
 
 # Words for kinds of street, neighbourhood, number and venue, without accents or stops.
 STREET = "avenida|avda|avd|ave|av|calle|cll|cl|c|calzada|calz|czda|cda|cerrada|boulevard|bulevar|blvd|blvr|boul|bvd|privada|priv|pvda|prol|prolongacion|andador|andad|and|camino|carretera|carr|circuito|cto|callejon|cjon|periferico|paseo|pso|retorno|via"
@@ -106,43 +107,102 @@ def _flat(a: Column, b: Column) -> Column:
     return F.when(a.isNull() | b.isNull(), 0).when(a == b, 2).otherwise(1)
 
 
-def near_values(values: DataFrame, name: str) -> DataFrame:
-    """(name, near): the distinct values of ``name``, each with all that ``_near`` calls near or equal, itself included.
+def _marks(c: Column) -> tuple[Column, Column]:
+    """Which letters and which pairs of neighbours a value holds, as bits; an edit changes 2 bits of the first at most, 4 of the second."""
+    bits = lambda size, bit: F.aggregate(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - size + 1)), lambda i: bit(F.substr(c, i, F.lit(size)))), F.lit(0).cast("bigint"), lambda x, y: x.bitwiseOR(y))
+    shift = lambda n: F.call_function("shiftleft", F.lit(1).cast("bigint"), n.cast("int"))
+    return bits(1, lambda x: shift(F.ascii(x) % 64)), bits(2, lambda x: shift(F.pmod(F.crc32(x.cast("binary")), F.lit(64))))
+
+
+def _marked(values: DataFrame, on: list[str]) -> DataFrame:
+    """The distinct values ``v`` (with ``on``) other than null, with their marks."""
+    letters, pairs = _marks(F.col("v"))
+    return values.select(*on, "v").where("v IS NOT NULL").distinct().select(*on, "v", letters.alias("m1"), pairs.alias("m2"))
+
+
+def _near_longer(short: DataFrame, long: DataFrame, on: list[str]) -> DataFrame:
+    """(on, a, b): values of ``short`` with the values of ``long`` near or equal to them that aren't shorter.
 
     The shorter value is cut into one segment more than the edits its length allows, so one segment is left whole in
-    the longer value, shifted by no more than the edits before and after it allow; nothing near is lost.
+    the longer value, shifted by no more than the edits before and after it allow; nothing near is lost. Values that
+    share a segment are held against each other by their letters and pairs of letters first, which leaves few to be
+    aligned.
     """
-    v = values.select(F.col(name).alias("v")).where(F.col(name).isNotNull()).distinct()
     edits = lambda n: f"CASE WHEN {n} < 5 THEN 1 WHEN {n} < 9 THEN 2 ELSE 3 END"
     first = lambda n, k, i: f"({i} * ({n} DIV ({k} + 1)) + greatest(0, {i} - ({k} + 1 - {n} % ({k} + 1))))"
     size = lambda n, k, i: f"({n} DIV ({k} + 1) + CASE WHEN {i} >= {k} + 1 - {n} % ({k} + 1) THEN 1 ELSE 0 END)"
-    short = v.selectExpr("v AS a", "length(v) AS n", f"{edits('length(v)')} AS k").selectExpr("*", "explode(sequence(0, k)) AS i")
-    short = short.selectExpr("a", "n", "i", f"substring(a, CAST({first('n', 'k', 'i')} + 1 AS int), CAST({size('n', 'k', 'i')} AS int)) AS part")
-    long = v.selectExpr("v AS b", "explode(sequence(0, 3)) AS d").selectExpr("b", "d", "length(b) - d AS n").where("n > 0")
+    key = lambda part: f"xxhash64({', '.join([*on, 'n', 'i', part])}) AS part"
+    same = " AND ".join(f"a_{c} = b_{c}" for c in on) or "true"
+    short = short.selectExpr(*on, "v AS a", "m1 AS a1", "m2 AS a2", "length(v) AS n", f"{edits('length(v)')} AS k").selectExpr("*", "explode(sequence(0, k)) AS i")
+    short = short.selectExpr(*[f"{c} AS a_{c}" for c in on], "a", "a1", "a2", "k", key(f"substring(a, CAST({first('n', 'k', 'i')} + 1 AS int), CAST({size('n', 'k', 'i')} AS int))"))
+    long = long.selectExpr(*on, "v AS b", "m1 AS b1", "m2 AS b2", "explode(sequence(0, 3)) AS d").selectExpr("*", "length(b) - d AS n").where("n > 0")
     long = long.selectExpr("*", f"{edits('n')} AS k").where("d <= k").selectExpr("*", "explode(sequence(0, k)) AS i")
-    long = long.selectExpr("b", "d", "n", "k", "i", f"CAST({first('n', 'k', 'i')} AS int) AS p", f"CAST({size('n', 'k', 'i')} AS int) AS z").selectExpr("*", "greatest(0, p - i, p + d - (k - i)) AS lo", "least(n + d - z, p + i, p + d + (k - i)) AS hi")
-    long = long.where("lo <= hi").selectExpr("b", "n", "i", "explode(sequence(lo, hi)) AS at", "z").selectExpr("b", "n", "i", "substring(b, at + 1, z) AS part")
-    met = short.join(long, ["n", "i", "part"]).where(_near(F.col("a"), F.col("b")) >= 2).select("a", "b")
+    long = long.selectExpr("*", f"CAST({first('n', 'k', 'i')} AS int) AS p", f"CAST({size('n', 'k', 'i')} AS int) AS z").selectExpr("*", "greatest(0, p - i, p + d - (k - i)) AS lo", "least(n + d - z, p + i, p + d + (k - i)) AS hi")
+    long = long.where("lo <= hi").selectExpr(*on, "b", "b1", "b2", "n", "i", "explode(sequence(lo, hi)) AS at", "z").selectExpr(*[f"{c} AS b_{c}" for c in on], "b", "b1", "b2", key("substring(b, at + 1, z)"))
+    alike = f"{same} AND bit_count(a1 ^ b1) <= 2 * k AND bit_count(a2 ^ b2) <= 4 * k AND levenshtein(a, b, k) >= 0"
+    return short.join(long, "part").where(alike).select(*[F.col(f"a_{c}").alias(c) for c in on], "a", "b")
+
+
+def near_between(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """(on, a, b): each value ``v`` of ``left`` with all values of ``right`` of the same ``on`` that ``_near`` calls near or equal."""
+    x, y = cut(_marked(left, on)), cut(_marked(right, on))
+    return _near_longer(x, y, on).union(_near_longer(y, x, on).select(*on, "b", "a")).distinct()
+
+
+def near_values(values: DataFrame, name: str) -> DataFrame:
+    """(name, near): the distinct values of ``name``, each with all that ``_near`` calls near or equal, itself included."""
+    x = cut(_marked(values.select(F.col(name).alias("v")), []))
+    met = _near_longer(x, x, [])
     return met.union(met.select("b", "a")).distinct().toDF(name, "near")
 
 
+def families(forms: DataFrame) -> DataFrame:
+    """``forms`` with ``f_street`` and ``f_city``: one name for all values of the component that chains of near values
+    connect. Near values are always of one family, so that a family is a join key that loses nothing and takes one row a
+    form, however many spellings it has; pairs are held against ``_near`` afterwards."""
+    fields = ("street", "city")
+    node = lambda f, c: F.concat(F.lit(f[0] + ":"), F.col(c))
+    near = None
+    for f in fields:
+        t = near_values(forms, f).where(F.col(f) < F.col("near")).select(node(f, f).alias("i"), node(f, "near").alias("j"))
+        near = t if near is None else near.union(t)
+    near = cut(near)
+    nodes = near.select(F.col("i").alias("form")).union(near.select("j")).distinct()
+    family = cut(joined(near, nodes).where("form <> place"))
+    for f in fields:
+        names = family.where(F.col("form").startswith(f[0] + ":")).select(F.substr("form", F.lit(3)).alias(f), F.substr("place", F.lit(3)).alias("f_" + f))
+        forms = forms.join(names, f, "left").withColumn("f_" + f, F.coalesce("f_" + f, f))
+    return forms
+
+
 def admitted(forms: DataFrame) -> DataFrame:
     """(i, j) of all pairs with a near street or venue whose cities and numbers are near, equal or missing, i < j."""
-    cities = cut(near_values(forms, "city"))
-    out = None
-    for name in ("street", "venue"):
-        near = cut(near_values(forms, name))
-        left = forms.where(F.col(name).isNotNull()).select(F.col("form").alias("i"), name, "city", "number").join(near, name).drop(name).withColumnRenamed("near", name)
-        right = forms.where(F.col(name).isNotNull()).select(F.col("form").alias("j"), name, "city", "number")
-        city = left.drop("number").join(cities, "city").drop("city").withColumnRenamed("near", "city").join(right.drop("number"), [name, "city"])
-        number = left.drop("city").join(right.drop("city"), [name, "number"])
-        # A city and a number missing, in one form or one in each.
-        bare = left.where("city IS NULL AND number IS NULL").select("i", name).join(right.select("j", name), name)
-        each = left.where("city IS NULL").select("i", name).join(right.where("number IS NULL").select("j", name), name)
-        for met in (city, number, bare, each):
-            met = met.where("i <> j").select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
-            out = met if out is None else out.union(met)
-    return out
+    t = cut(families(forms.select("form", "street", "venue", "city", "number")))
+    out = []
+    side = lambda rows, k, p: rows.select(F.col("form").alias(k), F.col("street").alias(p), F.col("f_street"), F.col("city").alias(p + "c"), F.col("f_city"), "number")
+    streets = t.where("street IS NOT NULL")
+    left, right = side(streets, "i", "x"), side(streets, "j", "y")
+    out.append(left.drop("f_city").join(right.drop("f_city"), ["f_street", "number"]).where("i < j"))
+    # The number is missing in one form at least: by the city, or, where a city is missing too, by the street alone.
+    loose = left.where("number IS NULL").drop("number")
+    open_ = right.withColumn("even", F.col("number").isNull()).drop("number")
+    once = (F.col("i") < F.col("j")) | ~F.col("even")
+    out.append(loose.join(open_, ["f_street", "f_city"]).where(once))
+    out.append(loose.where("xc IS NULL").drop("f_city").join(open_.drop("f_city"), "f_street").where(once & (F.col("i") != F.col("j"))))
+    out.append(loose.where("xc IS NOT NULL").drop("f_city").join(open_.where("yc IS NULL").drop("f_city"), "f_street").where(F.col("i") != F.col("j")))
+    fits = (_near(F.col("x"), F.col("y")) >= 2) & (_near(F.col("xc"), F.col("yc")) != 1)
+    found = [met.where(fits).select("i", "j") for met in out]
+    # Venues: near ones are looked for within a family of cities; those without city among all.
+    venues = t.where("venue IS NOT NULL").select("form", F.col("venue").alias("v"), "city", "f_city", "number")
+    a = lambda rows: rows.select(F.col("form").alias("i"), F.col("v").alias("a"), F.col("city").alias("xc"), "f_city", F.col("number").alias("xn"))
+    b = lambda rows: rows.select(F.col("form").alias("j"), F.col("v").alias("b"), F.col("city").alias("yc"), "f_city", F.col("number").alias("yn"))
+    fits = (F.col("i") != F.col("j")) & ((F.col("xn") == F.col("yn")) | F.col("xn").isNull() | F.col("yn").isNull()) & (_near(F.col("xc"), F.col("yc")) != 1)
+    here, nowhere = venues.where("city IS NOT NULL"), venues.where("city IS NULL")
+    within = cut(near_between(here, here, ["f_city"]).where("a <= b"))
+    found.append(a(here).join(within, ["f_city", "a"]).join(b(here), ["f_city", "b"]).where(fits & ((F.col("a") < F.col("b")) | (F.col("i") < F.col("j")))).select("i", "j"))
+    among = cut(near_between(nowhere, venues, []))
+    found.append(a(nowhere).drop("f_city").join(among, "a").join(b(venues).drop("f_city"), "b").where(fits).select("i", "j"))
+    return reduce(DataFrame.union, found).select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
 
 
 def compared(forms: DataFrame) -> DataFrame:
@@ -156,8 +216,9 @@ def compared(forms: DataFrame) -> DataFrame:
         F.transform("hc", lambda x: F.concat(F.lit("cn|"), x, F.lit("|"), F.col("number"))),
         F.when(F.col("venue").isNotNull(), F.array(F.concat(F.lit("v|"), _sound(F.col("venue"))))),
     ))))
-    block = k.select("form", F.explode(F.array_compact(keys)).alias("block"))
-    pairs = block.select(F.col("form").alias("i"), "block").join(block.select(F.col("form").alias("j"), "block"), "block").where("i < j").select("i", "j").union(admitted(forms)).distinct()
+    block = k.select("form", F.explode(F.transform(F.array_compact(keys), lambda x: F.xxhash64(x))).alias("block"))  # a digest in common adds a pair to compare, no more
+    met = block.select(F.col("form").alias("i"), "block").join(block.select(F.col("form").alias("j"), "block"), "block").where("i < j").select("i", "j")
+    pairs = met.union(admitted(forms)).distinct()
     cols = ("street", "number", "colonia", "city", "venue", "kind")
     side = lambda name, p: forms.select(F.col("form").alias(name), *[F.col(c).alias(p + c) for c in cols])
     both = pairs.join(side("i", "a_"), "i").join(side("j", "b_"), "j")
@@ -212,29 +273,33 @@ def linked(pairs: DataFrame, threshold: float = 0.0) -> DataFrame:
     return pairs.where(allowed).withColumn("weight", score).where(F.col("weight") > threshold)
 
 
-def joined(links: DataFrame, forms: DataFrame, rounds: int = 30) -> DataFrame:
-    """(form, place): the smallest form reachable over links."""
+def joined(links: DataFrame, forms: DataFrame) -> DataFrame:
+    """(form, place): the smallest form reachable over links. It ends when no label moves; pointer jumping makes the
+    turns few (about the logarithm of the longest chain)."""
     edges = cut(links.select("i", "j").unionByName(links.select(F.col("j").alias("i"), F.col("i").alias("j"))))
-    label = cut(forms.select("form", F.col("form").alias("place")))
-    for _ in range(rounds):
+    label = forms.select("form", F.col("form").alias("place"))
+    last, moved = None, True
+    while moved:
         best = edges.join(label, edges.j == label.form).groupBy("i").agg(F.min("place").alias("near"))
         new = label.join(best, label.form == best.i, "left").select("form", F.least("place", F.coalesce("near", "place")).alias("place"), (F.coalesce("near", "place") < F.col("place")).alias("moved"))
         # pointer jumping: a form also takes the label of its label
         up = new.select(F.col("form").alias("place"), F.col("place").alias("root"))
         new = cut(new.join(up, "place", "left").select("form", F.least("place", F.coalesce("root", "place")).alias("place"), "moved"))
-        moved = new.where("moved").limit(1).count()
-        label = new.drop("moved")
-        if not moved:
-            break
+        moved = not new.where("moved").isEmpty()
+        if last is not None:
+            dropped(last)
+        last, label = new, new.drop("moved")
+    dropped(edges)
     return label
 
 
 def same_place(df: DataFrame, key: str) -> DataFrame:
     """(a, b): two records that denote the same place, a < b."""
     cols = ("street", "number", "colonia", "city", "venue", "kind")
-    recs = components(df, key).withColumn("form", F.xxhash64(*[F.coalesce(c, F.lit("\x00")) for c in cols]))
-    recs = cut(recs)
-    forms = cut(recs.groupBy("form").agg(*[F.first(c).alias(c) for c in cols]))
+    # Components are of letters, digits, blanks and commas, so that the joined text is the form itself, not a digest.
+    recs = cut(components(df, key).withColumn("written", F.concat_ws("|", *[F.coalesce(c, F.lit("~")) for c in cols])))
+    forms = cut(recs.groupBy("written").agg(F.min(key).alias("form"), *[F.first(c).alias(c) for c in cols]))
+    recs = recs.select(key, "written").join(forms.select("written", "form"), "written").select(key, "form")
     links = linked(cut(compared(forms)))
     place = joined(links, forms)
     full = forms.join(place, "form")
