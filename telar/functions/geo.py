@@ -50,23 +50,54 @@ def compatible(a: dict[int, Column], b: dict[int, Column]) -> Column:
     return some(a) & some(b) & (inside(a, b) | inside(b, a))
 
 
-def window(start: Column, end: Column, published: Column, precision: Column) -> Column:
-    """struct<start,end,slack,source>: the extracted window with max(1, min(precision, 365)) days of slack, else the
-    publication date with 2, else none. One missing end is the other, and inverted ends are swapped."""
+def window(start: Column, end: Column, published: Column, precision: Column, least: int = 1, publication: int = 2, most: int = MAX_DAYS) -> Column:
+    """struct<start,end,slack,source>: the extracted window with max(``least``, min(precision, ``most``)) days of slack, else
+    the publication date with ``publication``, else none. One missing end is the other, and inverted ends are swapped."""
     s, e = F.coalesce(start, end), F.coalesce(end, start)
-    slack = F.greatest(F.lit(1), F.least(F.coalesce(precision, F.lit(0)), F.lit(MAX_DAYS)))
+    slack = F.greatest(F.lit(least), F.least(F.coalesce(precision, F.lit(0)), F.lit(most)))
     none = F.lit(None)
     return (
         F.when(s.isNotNull(), F.struct(F.least(s, e).alias("start"), F.greatest(s, e).alias("end"), slack.cast("int").alias("slack"), F.lit("extracted").alias("source")))
-        .when(published.isNotNull(), F.struct(published.alias("start"), published.alias("end"), F.lit(2).alias("slack"), F.lit("publication").alias("source")))
+        .when(published.isNotNull(), F.struct(published.alias("start"), published.alias("end"), F.lit(publication).alias("slack"), F.lit("publication").alias("source")))
         .otherwise(F.struct(none.cast("date").alias("start"), none.cast("date").alias("end"), none.cast("int").alias("slack"), F.lit("missing").alias("source")))
     )
 
 
-def day_keys(start: Column, end: Column, slack: Column) -> Column:
-    """The days from start - slack to end + slack, a year and a day at most."""
+def day_span(start: Column, end: Column, slack: Column, most: int = MAX_DAYS) -> Column:
+    """struct<lo,hi>: the days from start - slack to end + slack, ``most`` days and one at most."""
     lo, hi = F.date_sub(F.least(start, end), slack), F.date_add(F.greatest(start, end), slack)
-    return F.sequence(lo, F.least(hi, F.date_add(lo, MAX_DAYS)))
+    return F.struct(lo.alias("lo"), F.least(hi, F.date_add(lo, most)).alias("hi"))
+
+
+def day_keys(start: Column, end: Column, slack: Column, most: int = MAX_DAYS) -> Column:
+    """The days of ``day_span``."""
+    span = day_span(start, end, slack, most)
+    return F.sequence(span["lo"], span["hi"])
+
+
+def box(row: Column, col: Column, size: float = CELL) -> Column:
+    """struct<lat_min,lat_max,lon_min,lon_max>: the bounds of the 3 x 3 cells around a cell."""
+    return F.when(row.isNotNull() & col.isNotNull(), F.struct(((row - 1) * size).alias("lat_min"), ((row + 2) * size).alias("lat_max"), ((col - 1) * size).alias("lon_min"), ((col + 2) * size).alias("lon_max")))
+
+
+def parsed_box(c: Column) -> Column:
+    """array<double> of four numbers out of a text: a JSON list or numbers with commas or blanks between; null where there
+    aren't four."""
+    found = F.regexp_extract_all(c, F.lit(r"([-+]?\d+(?:\.\d+)?)"), F.lit(1))
+    return F.when(F.size(found) == 4, F.transform(found, lambda x: x.cast("double")))
+
+
+def near_degrees(lat1: Column, lon1: Column, lat2: Column, lon2: Column, limit: float = 0.0035) -> Column:
+    """The older test of nearness: straight distance in degrees."""
+    return F.sqrt(F.pow(lat1 - lat2, 2) + F.pow(lon1 - lon2, 2)) < limit
+
+
+def partition_key(level_2: Column, state: Column, canonical_level: Column, canonical_state: Column, slug: Column) -> tuple[Column, Column]:
+    """(key, provenance): the geocoder's state by the catalogue or as its slug, else the written state by the catalogue,
+    else the empty key."""
+    has = F.coalesce(F.trim(level_2), F.lit("")) != ""
+    key = F.when(has, F.coalesce(canonical_level, slug)).when(state.isNotNull() & canonical_state.isNotNull(), canonical_state).otherwise(F.lit(""))
+    return key, F.when(has, "geocoder").when(state.isNotNull() & canonical_state.isNotNull(), "state_catalogue").otherwise("none")
 
 
 def overlaps(a_start: Column, a_end: Column, a_slack: Column, b_start: Column, b_end: Column) -> Column:

@@ -2,21 +2,44 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ACCENTS = ("áàäâãåéèëêíìïîóòöôõúùüûñç", "aaaaaaeeeeiiiiooooouuuunc")
+
+@lru_cache(maxsize=2)
+def _folding(form: str) -> tuple[str, str, dict[str, str]]:
+    """Characters and what is left of each when it is decomposed and its marks are dropped: one for one, and one for several."""
+    one, several = {}, {}
+    for n in (*range(0xA0, 0xAC00), *range(0xF900, 0x10000)):
+        c = chr(n)
+        left = "".join(x for x in unicodedata.normalize(form, c) if unicodedata.category(x) != "Mn").lower()
+        if left and left != c:
+            (one if len(left) == 1 else several)[c] = left
+    return "".join(one), "".join(one.values()), several
+
+
+def strip_accents(c: Column) -> Column:
+    """Canonical decomposition without the marks."""
+    return F.translate(F.regexp_replace(c, r"\p{Mn}", ""), *_folding("NFD")[:2])
 
 
 def normalize_text(c: Column) -> Column:
     """Lower case, accents dropped, white space squeezed and trimmed."""
-    x = F.translate(F.regexp_replace(F.lower(c), r"\p{M}", ""), *_ACCENTS)
-    return F.trim(F.regexp_replace(x, r"\s+", " "))
+    return F.trim(F.regexp_replace(strip_accents(F.lower(c)), r"\s+", " "))
 
 
 def name_key(c: Column) -> Column:
-    """Letters and digits of the normal form only: spacing and punctuation don't tell names apart."""
-    return F.regexp_replace(normalize_text(c), "[^a-z0-9]", "")
+    """Letters and digits of the compatibility form only: spacing, punctuation, width and accents don't tell names apart."""
+    fold = _folding("NFKD")
+    out = F.translate(F.regexp_replace(F.lower(c), r"\p{Mn}", ""), *fold[:2])
+    # Signs that stand for several letters or digits; few texts have one.
+    several = {k: kept for k, v in fold[2].items() if (kept := re.sub("[^a-z0-9]", "", v))}
+    spelled = F.array_join(F.transform(F.split(out, ""), lambda x: F.coalesce(F.try_element_at(F.create_map(*[F.lit(y) for kv in several.items() for y in kv]), x), x)), "")
+    return F.regexp_replace(F.when(out.rlike("[" + "".join(several) + "]"), spelled).otherwise(out), "[^a-z0-9]", "")
 
 
 def slug(c: Column) -> Column:
@@ -85,6 +108,42 @@ def record_hash(*cols: Column) -> Column:
     return F.sha2(F.to_json(F.struct(*cols)), 256)
 
 
+def named_hash(fields: dict[str, Column]) -> Column:
+    """``record_hash`` with the fields in the order of their names, so that it doesn't hang on the order of arguments."""
+    return record_hash(*[fields[k].alias(k) for k in sorted(fields)])
+
+
+def pascal(c: Column) -> Column:
+    """snake_case as PascalCase."""
+    return F.array_join(F.transform(F.split(c, "_"), lambda x: F.concat(F.upper(F.left(x, F.lit(1))), F.substr(x, F.lit(2)))), "")
+
+
+def fixture_slug(c: Column) -> Column:
+    """A name fit for a file: the normal form's letters and digits, joined by underscores."""
+    return F.regexp_replace(slug(c), " ", "_")
+
+
+def legacy_clean(c: Column) -> Column:
+    """The older cleaning: lower case and six letters replaced, other accents left."""
+    return F.translate(F.lower(c), "áéíóúñ", "aeioun")
+
+
+def shortened(c: Column, most: int) -> Column:
+    """The first ``most`` characters."""
+    return F.left(c, F.lit(most))
+
+
+def shingle_similarity(a: Column, b: Column, size: int = 3) -> Column:
+    """Exact Jaccard similarity of the sets of words and of runs of ``size`` words of two texts; 0 where either is empty."""
+    def pieces(c: Column) -> Column:
+        w = F.filter(F.split(normalize_text(F.coalesce(c, F.lit(""))), " "), lambda x: x != "")
+        runs = F.when(F.size(w) >= size, F.transform(F.sequence(F.lit(1), F.size(w) - size + 1), lambda i: F.array_join(F.slice(w, i, F.lit(size)), " "))).otherwise(F.array().cast("array<string>"))
+        return F.array_distinct(F.concat(w, runs))
+
+    x, y = pieces(a), pieces(b)
+    return F.when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y)))
+
+
 def identification_text(name: Column, description: Column) -> Column:
     """The description, with the name in brackets where it isn't part of it."""
     has = F.contains(F.lower(description), F.lower(name))

@@ -3,28 +3,39 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telar.functions import geo
+from telar.functions.text import name_similarity
 
-LEVELS = (1, 2, 3, 6, 7)
+LEVELS = geo.LEVELS
 
 
 @dataclass(frozen=True)
 class LinkConfig:
-    """Parameters of linking."""
-
-    slack_publication: int = 2
-    cap: int = 12
+    """Parameters of linking; every function that needs one takes it from here."""
+
+    slack_extracted: int = 1  # least days around an extracted window
+    slack_publication: int = 2  # days around a publication date
+    max_window_days: int = geo.MAX_DAYS  # longest span of day keys, and most days of slack
+    det_day_slack: int = 1  # days around the incoming window in the certain gate, which has its own
+    det_levels: tuple[int, ...] = (6, 7)  # levels whose shared id makes a pair certain
+    det_publication_levels: tuple[int, ...] = (7,)  # of these, the ones that suffice where a date is a publication's
+    hard_geo_gate: bool = True
+    cap: int | None = 12  # candidates that go to adjudication
     cell: float = geo.CELL
 
 
-def prepare(records: DataFrame) -> DataFrame:
+DEFAULT = LinkConfig()
+
+
+def prepare(records: DataFrame, config: LinkConfig = DEFAULT) -> DataFrame:
     """Records (id, supertype, event_type, start, end, published, precision_days, level_N_id, lat, lon, state) with window and cell."""
-    w = geo.window(F.col("start"), F.col("end"), F.col("published"), F.col("precision_days"))
-    return records.withColumns({"window": w, "row": geo.cell(F.col("lat")), "col": geo.cell(F.col("lon"))})
+    w = geo.window(F.col("start"), F.col("end"), F.col("published"), F.col("precision_days"), config.slack_extracted, config.slack_publication, config.max_window_days)
+    return records.withColumns({"window": w, "row": geo.cell(F.col("lat"), config.cell), "col": geo.cell(F.col("lon"), config.cell)})
 
 
 def _levels(df: DataFrame, prefix: str = "") -> dict:
@@ -32,49 +43,101 @@ def _levels(df: DataFrame, prefix: str = "") -> dict:
     return {n: F.col(f"{prefix}level_{n}_id") for n in geo.LEVELS if f"level_{n}_id" in df.columns}
 
 
-def index_keys(prepared: DataFrame, probe: bool, publication: bool = False) -> DataFrame:
+def index_keys(prepared: DataFrame, probe: bool, publication: bool = False, config: LinkConfig = DEFAULT) -> DataFrame:
     """(supertype, geo_key, day, id) under which a record is registered, or probed; with ``publication`` also the days
     around its publication."""
     keys = geo.geo_keys(_levels(prepared), F.col("row"), F.col("col"), F.col("state"), probe)
-    days = geo.day_keys(F.col("window.start"), F.col("window.end"), F.col("window.slack"))
-    if publication:
-        slack = F.lit(LinkConfig.slack_publication)
-        days = F.array_distinct(F.concat(days, F.when(F.col("published").isNotNull(), geo.day_keys(F.col("published"), F.col("published"), slack)).otherwise(F.array().cast("array<date>"))))
+    spans = _spans(prepared, publication, config)
+    days = F.array_distinct(F.flatten(F.transform(spans, lambda x: F.sequence(x["lo"], x["hi"]))))
     return prepared.where("window.start IS NOT NULL").select("supertype", "id", F.explode(keys).alias("geo_key"), days.alias("days")).select("supertype", "id", "geo_key", F.explode("days").alias("day"))
 
 
-def candidates(prepared: DataFrame, fine: bool = False) -> DataFrame:
-    """(inc, cand): records that meet under a key, the candidate with the smaller id; equi-joins only, and each pair once.
+def _spans(prepared: DataFrame, publication: bool, config: LinkConfig) -> Column:
+    """array<struct<lo,hi>>: the days of the window with its slack, clamped, and of the publication."""
+    w = F.col("window")
+    own = geo.day_span(w["start"], w["end"], w["slack"], config.max_window_days)
+    if not publication:
+        return F.array(own)
+    d = F.col("published")
+    return F.array_compact(F.array(own, F.when(d.isNotNull(), geo.day_span(d, d, F.lit(config.slack_publication), config.max_window_days))))
 
-    A record probes the days of its window and is registered under these and the days around its publication.
 
-    ``fine``: only under ids of levels 6 and 7, which is all that the certain gate needs.
-    """
-    if fine:
-        return _fine_candidates(prepared)
-    probe, reg = index_keys(prepared, True).withColumnRenamed("id", "inc"), index_keys(prepared, False, publication=True).withColumnRenamed("id", "cand")
-    return probe.join(reg, ["supertype", "geo_key", "day"]).where("cand < inc").select("inc", "cand").distinct()
+#: Days of a time bucket: a window meets few buckets, whatever its slack.
+BUCKET = 32
 
 
-def _fine_candidates(prepared: DataFrame) -> DataFrame:
-    keep = F.col("geo_key").rlike("^l[67]:")
-    probe, reg = index_keys(prepared, True).where(keep).withColumnRenamed("id", "inc"), index_keys(prepared, False).where(keep).withColumnRenamed("id", "cand")
-    return probe.join(reg, ["supertype", "geo_key", "day"]).where("cand < inc").select("inc", "cand").distinct()
+def candidates(prepared: DataFrame, config: LinkConfig = DEFAULT, keys: str = "") -> DataFrame:
+    """(inc, cand): records that meet under a place key on a day, the candidate with the smaller id, each pair once.
 
+    A record probes the days of its window and is registered under these and the days around its publication. Instead of
+    a row a day, a record has a row per bucket of ``BUCKET`` days; the join is on (supertype, place key, bucket) and the
+    days themselves are compared by their ends, which is the same and takes a 30th of the rows. Records of one place key
+    and bucket that are all of the same days and places stay apart only by id: such hot keys are split by AQE.
 
-def gated(pairs: DataFrame, prepared: DataFrame) -> DataFrame:
-    """``pairs`` with ``geo_ok`` (one id path contains the other) and ``certain``: same leaf type, shared fine id (level 7
-    where a date is only the publication's), windows that meet."""
+    ``keys``: only place keys that match this pattern.
+    """
+    def side(probe: bool, name: str) -> DataFrame:
+        place = geo.geo_keys(_levels(prepared), F.col("row"), F.col("col"), F.col("state"), probe)
+        t = prepared.where("window.start IS NOT NULL").select("supertype", F.col("id").alias(name), place.alias("place"), _spans(prepared, not probe, config).alias("spans"))
+        if keys:
+            t = t.withColumn("place", F.filter("place", lambda x: x.rlike(keys)))
+        t = t.select("supertype", name, "spans", F.explode("place").alias("geo_key"))
+        number = lambda d: F.floor(F.unix_date(d) / BUCKET).cast("int")
+        lo, hi = F.array_min(F.transform("spans", lambda x: x["lo"])), F.array_max(F.transform("spans", lambda x: x["hi"]))
+        return t.withColumn("bucket", F.explode(F.sequence(number(lo), number(hi)))).withColumnRenamed("spans", name + "_spans")
+
+    j = side(True, "inc").join(side(False, "cand"), ["supertype", "geo_key", "bucket"]).where("cand < inc")
+    meet = F.exists("inc_spans", lambda x: F.exists("cand_spans", lambda y: (x["lo"] <= y["hi"]) & (y["lo"] <= x["hi"])))
+    return j.where(meet).select("inc", "cand").distinct()
+
+
+def candidates_by_range(prepared: DataFrame, config: LinkConfig = DEFAULT) -> DataFrame:
+    """(inc, cand): the lookup as tables answer it. Registered is the envelope of a record's window without clamp, and no
+    publication days beside it; records meet by an id of level 3 or finer, by the 3 x 3 cells, or by the state where the
+    candidate has neither fine id nor cell. Records without any of these find nothing. One equi-join per kind of place,
+    never an OR."""
+    w = F.col("window")
+    t = prepared.where("window.start IS NOT NULL").withColumns({"lo": F.date_sub(w["start"], w["slack"]), "hi": F.date_add(w["end"], w["slack"])})
+    fine = [F.when(c.isNotNull(), F.concat(F.lit(f"l{n}:"), c)) for n, c in _levels(t).items() if n >= 3]
+    here = F.when(F.col("row").isNotNull(), F.concat(F.lit("g:"), F.col("row").cast("string"), F.lit(","), F.col("col").cast("string")))
+    state = F.when(F.col("level_2_id").isNotNull(), F.concat(F.lit("so:"), "level_2_id"))
+    around = F.when(F.col("row").isNotNull(), F.transform(geo.neighbours(F.col("row"), F.col("col")), lambda x: F.concat(F.lit("g:"), x["r"].cast("string"), F.lit(","), x["c"].cast("string"))))
+    probe = F.array_compact(F.concat(F.array(*fine, state), F.coalesce(around, F.array().cast("array<string>"))))
+    held = F.array_compact(F.array(*fine, here))
+    held = F.when(F.size(held) > 0, held).otherwise(F.array_compact(F.array(state)))
+    number = lambda d: F.floor(F.unix_date(d) / BUCKET).cast("int")
+
+    def side(keys: Column, name: str) -> DataFrame:
+        rows = t.select("supertype", F.col("id").alias(name), F.col("lo").alias(name + "_lo"), F.col("hi").alias(name + "_hi"), F.explode(keys).alias("geo_key"))
+        return rows.withColumn("bucket", F.explode(F.sequence(number(F.col(name + "_lo")), number(F.col(name + "_hi")))))
+
+    j = side(probe, "inc").join(side(held, "cand"), ["supertype", "geo_key", "bucket"])
+    return j.where("cand < inc AND inc_lo <= cand_hi AND cand_lo <= inc_hi").select("inc", "cand").distinct()
+
+
+#: The two candidate indexes: by keys, as records held in memory are found, and by ranges, as tables are.
+INDEXES = {"keys": candidates, "range": candidates_by_range}
+
+
+def gated(pairs: DataFrame, prepared: DataFrame, config: LinkConfig = DEFAULT) -> DataFrame:
+    """``pairs`` with ``geo_ok`` (one id path contains the other), ``leaf`` (whether their fine ids are the same place:
+    misma, distinta, or null where one has none) and ``certain``: same leaf type, shared fine id (of a publication level
+    where a date is only the publication's), windows that meet with the gate's own slack on the incoming side."""
     cols = ["event_type", "window", "published", *[f"level_{n}_id" for n in _levels(prepared)]]
     side = lambda k, p: prepared.select(F.col("id").alias(k), *[F.col(c).alias(p + c) for c in cols])
     j = pairs.join(side("inc", "a_"), "inc").join(side("cand", "b_"), "cand")
-    fine = (F.col("a_level_7_id") == F.col("b_level_7_id")) | ((F.col("a_level_6_id") == F.col("b_level_6_id")) & (F.col("a_window.source") == "extracted") & (F.col("b_window.source") == "extracted"))
-    meet = geo.overlaps(F.col("a_window.start"), F.col("a_window.end"), F.col("a_window.slack"), F.col("b_window.start"), F.col("b_window.end"))
-    return j.select("inc", "cand", F.col("b_published").alias("published"), geo.compatible(_levels(prepared, "a_"), _levels(prepared, "b_")).alias("geo_ok"),
+    shared = lambda levels: reduce(lambda x, y: x | y, [F.coalesce(F.col(f"a_level_{n}_id") == F.col(f"b_level_{n}_id"), F.lit(False)) for n in levels])
+    some = lambda p: F.coalesce(*[F.col(f"{p}_level_{n}_id") for n in config.det_levels]).isNotNull()
+    exact = (F.col("a_window.source") == "extracted") & (F.col("b_window.source") == "extracted")
+    fine = F.when(exact, shared(config.det_levels)).otherwise(shared(config.det_publication_levels))
+    meet = geo.overlaps(F.col("a_window.start"), F.col("a_window.end"), F.lit(config.det_day_slack), F.col("b_window.start"), F.col("b_window.end"))
+    fits = geo.compatible(_levels(prepared, "a_"), _levels(prepared, "b_")) if config.hard_geo_gate else F.lit(True)
+    return j.select("inc", "cand", F.col("b_published").alias("published"), fits.alias("geo_ok"),
+                    F.when(some("a") & some("b"), F.when(shared(config.det_levels), "misma").otherwise("distinta")).alias("leaf"),
                     F.coalesce((F.col("a_event_type") == F.col("b_event_type")) & fine & meet, F.lit(False)).alias("certain"))
 
 
-def capped(pairs: DataFrame, cap: int = LinkConfig.cap) -> DataFrame:
+def capped(pairs: DataFrame, cap: int = DEFAULT.cap) -> DataFrame:
     """At most ``cap`` candidates per incoming record, the latest published first, then the smaller id."""
     w = Window.partitionBy("inc").orderBy(F.desc_nulls_last("published"), "cand")
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= cap)
@@ -85,18 +148,54 @@ def decided(pairs: DataFrame) -> DataFrame:
     return pairs.where("geo_ok AND certain").groupBy("inc").agg(F.min(F.struct(F.col("published").isNull().alias("n"), "published", "cand")).alias("m")).select("inc", F.col("m.cand").alias("match"))
 
 
-def referred(pairs: DataFrame, cap: int = LinkConfig.cap) -> DataFrame:
+def referred(pairs: DataFrame, cap: int = DEFAULT.cap) -> DataFrame:
     """``capped`` geo-compatible candidates of the incoming records without a certain match, as they go to adjudication."""
     fit = pairs.where("geo_ok")
     return capped(fit.join(fit.where("certain").select("inc").distinct(), "inc", "left_anti"), cap)
 
 
 def canonical(members: DataFrame) -> DataFrame:
-    """One canonical record per ``link_id``: first filled name and status by (seq), earliest publication, the window of the
-    best precision (null counts as 0, ties the earliest seen), the location of the highest level, all sources once."""
-    first = lambda c: F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("seq")))
-    return members.groupBy("link_id").agg(
-        first("name").alias("name"), first("status").alias("status"), F.min("published").alias("published"),
-        F.min_by(F.col("start"), F.when(F.col("start").isNotNull(), F.struct(F.coalesce("precision_days", F.lit(0)), F.col("seq")))).alias("start"),
-        F.max_by(F.col("geoid"), F.when(F.col("geoid").isNotNull(), F.struct(F.length("geoid"), -F.col("seq")))).alias("geoid"),
-        F.array_join(F.array_sort(F.collect_set("source_id")), ",").alias("sources"), F.count(F.lit(1)).alias("n"))
+    """One canonical record per ``link_id`` from its members in order of ``seq``: (link_id, seq, source_id, news_type, name,
+    description, context, status, published, window, location, geo_precision).
+
+    First filled name, description, context and status; the earliest publication; the extracted window of the best
+    precision with its start, end and precision (null counts as 0, ties the earliest seen), else none; the location of
+    strictly higher precision (so the first of the highest); sources once, in order, with a ledger of each source's own
+    publication and news type; the windows of all members.
+    """
+    seq = F.col("seq")
+    full = lambda c: F.when(F.trim(c) != "", F.col(c))
+    first = lambda c: F.min_by(full(c), F.when(full(c).isNotNull(), seq)).alias(c)
+    w = F.col("window")
+    has = F.col("source_id").isNotNull()
+    ledger = F.array_sort(F.collect_list(F.when(has, F.struct(seq.alias("seq"), "source_id", F.col("published").alias("publication_date"), "news_type"))))
+    # Sources once, before the ledger is built: a source repeated by a third of all rows is one element.
+    firsts = members.where(has).groupBy("link_id", "source_id").agg(F.min(F.struct("seq", "published", "news_type")).alias("f")).select("link_id", "source_id", "f.*")
+    sources = firsts.groupBy("link_id").agg(ledger.alias("_l")).select("link_id", F.transform("_l", lambda x: x["source_id"]).alias("source_ids"), F.transform("_l", lambda x: x.dropFields("seq")).alias("_sources"))
+    windows = F.transform(F.array_sort(F.collect_list(F.struct(seq.alias("seq"), w.alias("w")))), lambda x: x["w"])
+    best = F.min_by(F.struct(w["start"].alias("start"), w["end"].alias("end"), F.col("precision_days")), F.when(w["source"] == "extracted", F.struct(F.coalesce("precision_days", F.lit(0)).alias("p"), seq)))
+    out = members.groupBy("link_id").agg(
+        *[first(c) for c in ("name", "description", "context", "status")], F.min("published").alias("publication_date"), best.alias("date_range"),
+        F.max_by(F.struct("location", F.coalesce("geo_precision", F.lit(0)).alias("precision")), F.struct(F.coalesce("geo_precision", F.lit(0)), -seq)).alias("place"),
+        F.min_by(w["source"], seq).alias("_date_source"), windows.alias("_source_windows"), F.count(F.lit(1)).alias("n"))
+    return out.join(sources, "link_id", "left").withColumns({"source_ids": F.coalesce("source_ids", F.array().cast("array<string>"))})
+
+
+def drop_reason(supertype: Column, category: Column, event_type: Column, window: Column, strategies: tuple[str, ...] = ("event",)) -> Column:
+    """Why a record isn't linked, in order: no_supertype, no_schema (its supertype has no category), skipped_category:...,
+    no_type, no_date; null where it is linked."""
+    blank = lambda c: c.isNull() | (F.trim(c) == "")
+    return (
+        F.when(blank(supertype), "no_supertype").when(category.isNull(), "no_schema").when(~category.isin(*strategies), F.concat(F.lit("skipped_category:"), category))
+        .when(blank(event_type), "no_type").when(window["start"].isNull(), "no_date"))
+
+
+def case_log(pairs: DataFrame, prepared: DataFrame, names: DataFrame) -> DataFrame:
+    """(inc, n_candidates, candidates): for each incoming record its candidates with distance in metres (1 digit) and name
+    similarity (3 digits, where both have a name), in order of id."""
+    side = lambda k, p: prepared.select(F.col("id").alias(k), F.col("lat").alias(p + "lat"), F.col("lon").alias(p + "lon")).join(names.select(F.col("id").alias(k), F.col("name").alias(p + "name")), k, "left")
+    j = pairs.select("inc", "cand").join(side("inc", "a_"), "inc").join(side("cand", "b_"), "cand")
+    both = F.coalesce(F.col("a_name"), F.lit("")) != ""
+    both = both & (F.coalesce(F.col("b_name"), F.lit("")) != "")
+    item = F.struct(F.col("cand").alias("id"), F.col("b_name").alias("name"), F.round(geo.haversine_m(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon")), 1).alias("geo_dist_m"), F.when(both, F.round(name_similarity(F.col("a_name"), F.col("b_name")), 3)).alias("name_sim"))
+    return j.groupBy("inc").agg(F.count(F.lit(1)).alias("n_candidates"), F.array_sort(F.collect_list(item)).alias("candidates"))

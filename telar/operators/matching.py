@@ -1,51 +1,79 @@
-"""Rule matching of articles: keywords in any order, phrases, exclusions, categories and document types."""
+"""Rule matching of articles: keywords in any order, phrases, exclusions, categories and document types.
+
+Rules are configuration: hand-written, and at most ``MOST_RULES``. They are read by the driver and become one projection
+over the articles, so that matching takes no join and no shuffle however many articles there are. Words are stemmed only
+where they begin like a keyword's stem, which leaves a handful of words a text for Python.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from telar.functions.stem import stem, stems
 from telar.functions.text import normalize_text
 
-#: Endings dropped from Spanish words, longest first; a light stemmer in the JVM.
-ENDINGS = "(amientos|imientos|amiento|imiento|aciones|iciones|acion|icion|adores|adoras|ador|adora|mente|ancias|encias|ancia|encia|idades|idad|ismos|istas|ismo|ista|ando|iendo|aron|ieron|ados|idos|adas|idas|ado|ido|ada|ida|aban|aba|ar|er|ir|es|os|as|s|o|a|e)$"
+MOST_RULES = 10_000
+#: A word and its stem have their first letters in common, as no ending begins earlier.
+HEAD = 3
 
+def prepared_rules(rules: DataFrame) -> list[Row]:
+    """Enabled rules (a missing flag counts as enabled) with keywords as lists of words and phrases in normal form."""
+    none = F.array().cast("array<string>")
+    norm = lambda c: F.transform(F.coalesce(c, none), normalize_text)
+    out = rules.where(F.coalesce("enabled", F.lit(True))).select(
+        "ontology_class", F.transform(F.coalesce("kw", none), lambda k: F.split(normalize_text(k), " ")).alias("kw"), norm(F.col("phrase")).alias("phrase"), norm(F.col("not_kw")).alias("not_kw"),
+        F.coalesce("categories", none).alias("categories"), F.coalesce("dismiss_categories", none).alias("dismiss_categories"), F.transform(F.coalesce("document_type", none), F.lower).alias("document_type")
+    ).limit(MOST_RULES + 1).collect()
+    if len(out) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules")
+    return out
 
-def stems(text: Column) -> Column:
-    """The distinct stems of a text's words; punctuation stays attached to its word."""
-    return F.array_distinct(F.transform(F.split(normalize_text(text), " "), lambda w: F.when(F.length(w) > 4, F.regexp_replace(w, ENDINGS, "")).otherwise(w)))
 
+def _every(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
-def prepared_rules(rules: DataFrame) -> DataFrame:
-    """Enabled rules (a missing flag counts as enabled) with keywords as arrays of stems and phrases in normal form."""
-    none = F.array().cast("array<string>")
-    norm = lambda c: F.transform(F.coalesce(c, none), normalize_text)
-    return rules.where(F.coalesce("enabled", F.lit(True))).select(
-        "ontology_class", F.transform(F.coalesce("kw", none), stems).alias("kw"), norm(F.col("phrase")).alias("phrase"), norm(F.col("not_kw")).alias("not_kw"),
-        F.coalesce("categories", none).alias("categories"), F.coalesce("dismiss_categories", none).alias("dismiss_categories"), F.transform(F.coalesce("document_type", none), F.lower).alias("document_type"))
 
+def _some(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
-def rule_matches(words: Column, text: Column) -> Column:
+
+def keyword_hit(keyword: list[str], found: Column) -> Column:
+    """Whether all stems of a keyword are among ``found``, in any order."""
+    return _every([F.array_contains(found, x) for x in sorted({stem(w) for w in keyword})])
+
+
+def rule_matches(rule: Row, found: Column, norm: Column, categories: Column, document_type: Column) -> Column:
     """The predicate of a rule: all conditions that it has hold; one without conditions matches everything.
 
     Keywords need all their stems among the text's, in any order; phrases and exclusions are substrings of the normal form.
     """
-    kw, ph = F.col("kw"), F.col("phrase")
-    hit = F.exists(kw, lambda k: F.size(F.array_except(k, words)) == 0) | F.exists(ph, lambda p: F.contains(text, p))
-    return (
-        (((F.size(kw) == 0) & (F.size(ph) == 0)) | hit)
-        & ~F.exists("not_kw", lambda p: F.contains(text, p))
-        & ((F.size("r_categories") == 0) | F.arrays_overlap("r_categories", "categories"))
-        & ~F.arrays_overlap("dismiss_categories", "categories")
-        & ((F.size("r_types") == 0) | F.array_contains("r_types", F.col("document_type")))
-    )
+    overlap = lambda names: F.arrays_overlap(categories, F.array(*[F.lit(x) for x in names]))
+    conditions = []
+    if rule.kw or rule.phrase:
+        conditions.append(_some([keyword_hit(k, found) for k in rule.kw] + [F.contains(norm, F.lit(p)) for p in rule.phrase]))
+    conditions += [~F.contains(norm, F.lit(p)) for p in rule.not_kw]
+    if rule.categories:
+        conditions.append(F.coalesce(overlap(rule.categories), F.lit(False)))
+    if rule.dismiss_categories:
+        conditions.append(~F.coalesce(overlap(rule.dismiss_categories), F.lit(False)))
+    if rule.document_type:
+        conditions.append(F.coalesce(document_type.isin(*rule.document_type), F.lit(False)))
+    return _every(conditions)
 
 
 def match(articles: DataFrame, rules: DataFrame) -> DataFrame:
-    """(id, ontology_class): every article (id, text, categories, document_type) with the classes of the rules it meets.
-
-    The rule table is hand-written and small; Spark broadcasts it by its own size check.
-    """
-    a = articles.select("id", "categories", F.lower("document_type").alias("document_type"), normalize_text(F.col("text")).alias("norm"), stems(F.col("text")).alias("stems"))
-    r = prepared_rules(rules).withColumnsRenamed({"categories": "r_categories", "document_type": "r_types"})
-    return a.join(r, rule_matches(F.col("stems"), F.col("norm"))).select("id", "ontology_class").distinct()
+    """(id, ontology_class): every article (id, text, categories, document_type) with the classes of the rules it meets."""
+    known = prepared_rules(rules)
+    heads = sorted({w[:HEAD] for r in known for k in r.kw for w in k})
+    a = articles.select("id", F.coalesce("categories", F.array().cast("array<string>")).alias("categories"), F.lower("document_type").alias("document_type"), normalize_text(F.col("text")).alias("norm"))
+    if heads:
+        words = F.filter(F.array_distinct(F.split("norm", " ")), lambda w: F.left(w, F.lit(HEAD)).isin(*heads))
+        a = a.withColumn("found", stems(words))
+    else:
+        a = a.withColumn("found", F.array().cast("array<string>"))
+    hits = [F.when(rule_matches(r, F.coalesce("found", F.array().cast("array<string>")), F.coalesce("norm", F.lit("")), F.col("categories"), F.col("document_type")), F.lit(r.ontology_class)) for r in known]
+    classes = F.array_distinct(F.array_compact(F.array(*hits))) if hits else F.array().cast("array<string>")
+    return a.select("id", F.explode(classes).alias("ontology_class"))

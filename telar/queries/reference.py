@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from telar.functions import geo, text, types
 from telar.functions.instants import zone_ids
-from telar.operators import linking, matching, upserts
+from telar.operators import linking, matching, reports, upserts
 from telar.session import table
 
 # Event records from the table events: days, grid coordinates and nested place ids. Runs on Spark and DuckDB alike.
@@ -20,6 +20,7 @@ SELECT event_id, event_type, user_id, k, CAST(ts AS date) AS day,
        CASE WHEN event_id % 11 <> 0 THEN '_1' END AS level_1_id,
        CASE WHEN event_id % 11 <> 0 THEN concat('_1', lpad(CAST(CAST(floor(k / 25.0) AS int) AS varchar(9)), 2, '0')) END AS level_2_id,
        CASE WHEN event_id % 11 <> 0 THEN concat('_1', lpad(CAST(CAST(floor(k / 25.0) AS int) AS varchar(9)), 2, '0'), lpad(CAST(CAST(floor(k / 5.0) AS int) AS varchar(9)), 3, '0')) END AS level_3_id,
+       CASE WHEN event_id % 11 <> 0 AND event_id % 4 = 0 THEN concat('_1', lpad(CAST(CAST(floor(k / 25.0) AS int) AS varchar(9)), 2, '0'), lpad(CAST(CAST(floor(k / 5.0) AS int) AS varchar(9)), 3, '0'), 'c', CAST(user_id % 2 AS varchar(9))) END AS level_5_id,
        CASE WHEN event_id % 11 <> 0 AND event_id % 2 = 0 THEN concat('_1', lpad(CAST(CAST(floor(k / 25.0) AS int) AS varchar(9)), 2, '0'), lpad(CAST(CAST(floor(k / 5.0) AS int) AS varchar(9)), 3, '0'), lpad(CAST(k AS varchar(9)), 4, '0')) END AS level_6_id,
        CASE WHEN event_id % 11 <> 0 AND event_id % 10 = 0 THEN concat('_1', lpad(CAST(CAST(floor(k / 25.0) AS int) AS varchar(9)), 2, '0'), lpad(CAST(CAST(floor(k / 5.0) AS int) AS varchar(9)), 3, '0'), lpad(CAST(k AS varchar(9)), 4, '0'), lpad(CAST(user_id AS varchar(19)), 5, '0')) END AS level_7_id
 FROM (SELECT event_id, ts, user_id, event_type, CAST(regexp_extract(props, '([0-9]+)', 1) AS int) AS k FROM {events}) e
@@ -34,7 +35,7 @@ RULES = [
     ("gaceta", True, [], [], [], [], [], ["GACETA"]),
 ]
 RULE_SCHEMA = "ontology_class string, enabled boolean, kw array<string>, phrase array<string>, not_kw array<string>, categories array<string>, dismiss_categories array<string>, document_type array<string>"
-NORM = "trim(regexp_replace(regexp_replace(translate(lower({0}), 'áàäâãåéèëêíìïîóòöôõúùüûñç', 'aaaaaaeeeeiiiiooooouuuunc'), '\\p{{M}}', '', 'g'), '\\s+', ' ', 'g'))"
+NORM = "trim(regexp_replace(strip_accents(lower({0})), '\\s+', ' ', 'g'))"
 KEY = f"regexp_replace({NORM}, '[^a-z0-9]', '', 'g')"
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -197,7 +198,7 @@ FIELDS = [
 ]
 
 
-@query("p8_normalized_records")
+@query("proj8_flat_records")
 def _(s, d):
     t = types.normalized(table(s, d, "event_linking"), FIELDS, zone_ids(s), ["row_id"])
     return t.withColumn("violations", F.array_join(F.transform("violations", lambda v: F.concat(v["field"], F.lit(":"), v["message"])), ";"))
@@ -238,15 +239,9 @@ def _(s, d):
     return matching.match(articles(s, d), s.createDataFrame([r for r in RULES if r[0] == "gaceta"], RULE_SCHEMA)).select("id")
 
 
-@query("p1_articles_from_raw", """
-    SELECT rec_id, coalesce(nullif(trim(title), ''), left(trim(body), 120)) AS title, lower(coalesce(doctype, 'news')) AS document_type, coalesce(published_at, loaded_at) AS published FROM run_extraction""")
-def _(s, d):
-    return table(s, d, "run_extraction").select("rec_id", F.coalesce(F.nullif(F.trim("title"), F.lit("")), F.left(F.trim("body"), F.lit(120))).alias("title"), F.lower(F.coalesce("doctype", F.lit("news"))).alias("document_type"), F.coalesce("published_at", "loaded_at").alias("published"))
-
-
 # --- linking ----------------------------------------------------------------------------------------------------------
 
-INSIDE = "(" + " AND ".join(f"(a.level_{n}_id IS NULL OR coalesce(a.level_{n}_id = b.level_{n}_id, false))" for n in linking.LEVELS) + ")"
+INSIDE = "(" + " AND ".join(f"(a.level_{n}_id IS NULL OR coalesce(a.level_{n}_id = b.level_{n}_id, false))" for n in (1, 2, 3, 5, 6, 7)) + ")"
 OUTSIDE = INSIDE.replace("a.level", "x.level").replace("b.level", "a.level").replace("x.level", "b.level")
 GATE = f"a.level_1_id IS NOT NULL AND b.level_1_id IS NOT NULL AND ({INSIDE} OR {OUTSIDE})"
 
@@ -260,28 +255,36 @@ def _(s, d):
     return j.where(geo.compatible(*[{n: F.col(f"{p}_level_{n}_id") for n in linking.LEVELS} for p in "ab"])).select("a", "b")
 
 
+# The certain gate has a slack of its own, one day on the incoming side.
 CERTAIN = WINDOWS + f""", x AS (SELECT e.*, w.lo, w.slack, w.source FROM ev e JOIN w USING (event_id)),
     p AS (SELECT a.event_id AS inc, b.event_id AS cand, b.day AS published FROM x a JOIN x b ON a.supertype = b.supertype AND a.event_type = b.event_type AND b.event_id < a.event_id
           AND ((a.level_7_id = b.level_7_id) OR (a.level_6_id = b.level_6_id AND a.source = 'extracted' AND b.source = 'extracted'))
-          AND a.lo - to_days(a.slack) <= b.lo AND b.lo <= a.lo + to_days(a.slack) WHERE {GATE}) """
+          AND a.lo - INTERVAL 1 DAY <= b.lo AND b.lo <= a.lo + INTERVAL 1 DAY WHERE {GATE}) """
+FINE = "^l[67]:"  # all that the certain gate needs
 
 
 @query("f12_certain_pairs", CERTAIN + "SELECT inc, cand FROM p")
 def _(s, d):
     r = records(s, d)
-    return linking.gated(linking.candidates(r, fine=True), r).where("geo_ok AND certain").select("inc", "cand")
+    return linking.gated(linking.candidates(r, keys=FINE), r).where("geo_ok AND certain").select("inc", "cand")
 
 
 @query("t7_decided", CERTAIN + "SELECT inc, first(cand ORDER BY published NULLS LAST, cand) AS match FROM p GROUP BY inc")
 def _(s, d):
     r = records(s, d)
-    return linking.decided(linking.gated(linking.candidates(r, fine=True), r))
+    return linking.decided(linking.gated(linking.candidates(r, keys=FINE), r))
 
 
 @query("t2_capped", CERTAIN + "SELECT inc, cand, rank FROM (SELECT inc, cand, row_number() OVER (PARTITION BY inc ORDER BY published DESC NULLS LAST, cand) AS rank FROM p) WHERE rank <= 12")
 def _(s, d):
     r = records(s, d)
-    return linking.capped(linking.gated(linking.candidates(r, fine=True), r).where("geo_ok AND certain")).select("inc", "cand", "rank")
+    return linking.capped(linking.gated(linking.candidates(r, keys=FINE), r).where("geo_ok AND certain")).select("inc", "cand", "rank")
+
+
+@query("f11_leaf_relation", CERTAIN + """SELECT inc, cand, 'misma' AS leaf FROM p""")
+def _(s, d):
+    r = records(s, d)
+    return linking.gated(linking.candidates(r, keys=FINE), r).where("geo_ok AND certain").select("inc", "cand", "leaf")
 
 
 @query("j3_candidates")
@@ -295,15 +298,27 @@ def _(s, d):
     return linking.referred(linking.gated(linking.candidates(r), r)).select("inc", "cand", "rank")
 
 
-@query("a6_canonical", """
-    WITH m AS (SELECT grupo_id AS link_id, row_id AS seq, nullif(trim(nombre), '') AS name, nullif(trim(estatus), '') AS status, extraido_at AS published, fuente AS source_id FROM event_linking WHERE grupo_id IS NOT NULL)
-    SELECT link_id, first(name ORDER BY seq) FILTER (name IS NOT NULL) AS name, first(status ORDER BY seq) FILTER (status IS NOT NULL) AS status, min(published) AS published,
-        coalesce(array_to_string(list_sort(list(DISTINCT source_id) FILTER (source_id IS NOT NULL)), ','), '') AS sources, count(*) AS n FROM m GROUP BY link_id""")
+MEMBERS = WINDOWS + """, m AS (SELECT k % 20 AS link_id, event_id AS seq, 'u' || CAST(user_id AS varchar(19)) AS source_id, supertype AS news_type, CASE WHEN event_id % 5 = 0 THEN 'n' || CAST(event_id AS varchar(19)) END AS name,
+    CASE WHEN event_id % 7 = 0 THEN 'd' || CAST(event_id AS varchar(19)) ELSE '' END AS description, CASE WHEN event_id % 13 = 0 THEN event_type END AS context, CASE WHEN event_id % 3 = 0 THEN event_type END AS status, day AS published, lo, slack, source, precision_days,
+    coalesce(level_7_id, level_6_id, level_3_id) AS location, CASE WHEN level_7_id IS NOT NULL THEN 7 WHEN level_6_id IS NOT NULL THEN 6 WHEN level_3_id IS NOT NULL THEN 3 ELSE 0 END AS geo_precision FROM ev JOIN w USING (event_id)) """
+
+
+@query("a6_canonical", MEMBERS + """, s AS (SELECT link_id, source_id, min(seq) AS seq FROM m GROUP BY ALL), l AS (SELECT link_id, array_to_string(list(source_id ORDER BY seq), ',') AS sources FROM s GROUP BY link_id)
+    SELECT link_id, first(name ORDER BY seq) FILTER (name <> '') AS name, first(description ORDER BY seq) FILTER (description <> '') AS description, first(context ORDER BY seq) FILTER (context <> '') AS context,
+        first(status ORDER BY seq) FILTER (status <> '') AS status, min(published)::varchar AS published, (first(lo ORDER BY coalesce(precision_days, 0), seq) FILTER (source = 'extracted'))::varchar AS start,
+        first(coalesce(precision_days, -1) ORDER BY coalesce(precision_days, 0), seq) FILTER (source = 'extracted') AS precision_days, first(coalesce(location, '') ORDER BY geo_precision DESC, seq) AS location, max(geo_precision) AS geo_precision,
+        any_value(sources) AS sources, first(source ORDER BY seq) AS date_source, count(*) AS n FROM m JOIN l USING (link_id) GROUP BY link_id""")
 def _(s, d):
-    t = table(s, d, "event_linking").where("grupo_id IS NOT NULL")
-    full = lambda c: F.nullif(F.trim(c), F.lit(""))
-    m = t.select(F.col("grupo_id").alias("link_id"), F.col("row_id").alias("seq"), full("nombre").alias("name"), full("estatus").alias("status"), F.col("extraido_at").alias("published"), F.lit(None).cast("date").alias("start"), F.lit(None).cast("int").alias("precision_days"), F.lit(None).cast("string").alias("geoid"), F.col("fuente").alias("source_id"))
-    return linking.canonical(m).drop("start", "geoid")
+    r = records(s, d).join(ev(s, d).select(F.col("event_id").alias("id"), "k", "user_id"), "id")
+    named = lambda by, c: F.when(F.col("id") % by == 0, c)
+    place = F.coalesce("level_7_id", "level_6_id", "level_3_id")
+    m = r.select((F.col("k") % 20).alias("link_id"), F.col("id").alias("seq"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("source_id"), F.col("supertype").alias("news_type"),
+                 named(5, F.concat(F.lit("n"), F.col("id").cast("string"))).alias("name"), F.coalesce(named(7, F.concat(F.lit("d"), F.col("id").cast("string"))), F.lit("")).alias("description"), named(13, F.col("event_type")).alias("context"),
+                 named(3, F.col("event_type")).alias("status"), "published", "window", "precision_days", place.alias("location"),
+                 F.when(F.col("level_7_id").isNotNull(), 7).when(F.col("level_6_id").isNotNull(), 6).when(F.col("level_3_id").isNotNull(), 3).otherwise(0).alias("geo_precision"))
+    return linking.canonical(m).select(
+        "link_id", "name", "description", "context", "status", F.col("publication_date").cast("string").alias("published"), F.col("date_range.start").cast("string").alias("start"), F.coalesce("date_range.precision_days", F.lit(-1)).alias("precision_days"),
+        F.coalesce("place.location", F.lit("")).alias("location"), F.col("place.precision").alias("geo_precision"), F.array_join("source_ids", ",").alias("sources"), F.col("_date_source").alias("date_source"), "n")
 
 
 @query("j15_prefix_tiers", """
@@ -317,38 +332,55 @@ def _(s, d):
 
 # --- joins, aggregations, order -----------------------------------------------------------------------------------------
 
-@query("j7_catalog", "SELECT n_nationkey AS child_id, n_name AS child, r_regionkey AS parent_id, r_name AS parent FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
+@query("j7_catalog", """
+    WITH t AS (SELECT DISTINCT tipo_evento, coalesce(subtipo_evento, 'general') AS leaf FROM event_linking WHERE tipo_evento IS NOT NULL), p AS (SELECT row_number() OVER (ORDER BY tipo_evento) AS parent_id, tipo_evento FROM (SELECT DISTINCT tipo_evento FROM t)),
+    c AS (SELECT tipo_evento || '/' || leaf AS child, tipo_evento AS parent FROM t)
+    SELECT e.row_id, p.tipo_evento AS parent, c.child FROM event_linking e LEFT JOIN p ON e.tipo_evento = p.tipo_evento LEFT JOIN c ON c.parent = p.tipo_evento AND c.child = e.tipo_evento || '/' || e.subtipo_evento""")
 def _(s, d):
-    n, r = table(s, d, "nation"), table(s, d, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(F.col("n_nationkey").alias("child_id"), F.col("n_name").alias("child"), F.col("r_regionkey").alias("parent_id"), F.col("r_name").alias("parent"))
+    e = table(s, d, "event_linking").select("row_id", "tipo_evento", "subtipo_evento")
+    types = e.where("tipo_evento IS NOT NULL").select(F.concat_ws("/", "tipo_evento", F.coalesce("subtipo_evento", F.lit("general"))).alias("event_type"), F.col("tipo_evento").alias("supertype"), F.lit("event").alias("category"))
+    return upserts.resolved(e, upserts.catalog_seed(types), "tipo_evento", F.concat(F.col("tipo_evento"), F.lit("/"), F.col("subtipo_evento"))).select("row_id", "parent", "child")
 
 
-@query("j10_linked_sources", "SELECT p.upsert_id, count(DISTINCT l.delivery_id) AS deliveries FROM (SELECT upsert_id, unnest(source_ids) AS sid FROM persistence) p JOIN link l ON l._source_id = p.sid GROUP BY p.upsert_id")
+@query("j10_linked_sources", """
+    WITH l AS (SELECT sid, list_sort(list(DISTINCT entity_id)) AS ids FROM (SELECT entity_id, unnest(source_ids) AS sid FROM persistence) WHERE sid IS NOT NULL GROUP BY sid)
+    SELECT k.delivery_id, coalesce(array_to_string(l.ids, ','), '') AS event_ids FROM link k LEFT JOIN l ON k._source_id = l.sid""")
 def _(s, d):
-    p = table(s, d, "persistence").select("upsert_id", F.explode("source_ids").alias("_source_id"))
-    return p.join(table(s, d, "link").select("delivery_id", "_source_id"), "_source_id").groupBy("upsert_id").agg(F.countDistinct("delivery_id").alias("deliveries"))
+    p = table(s, d, "persistence").select("entity_id", F.explode("source_ids").alias("_source_id")).where("_source_id IS NOT NULL AND entity_id IS NOT NULL").groupBy("_source_id").agg(F.array_sort(F.collect_set("entity_id")).alias("ids"))
+    return table(s, d, "link").select("delivery_id", "_source_id").join(p, "_source_id", "left").select("delivery_id", F.coalesce(F.array_join("ids", ","), F.lit("")).alias("event_ids"))
 
 
-@query("j12_without_orders", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("j12_not_in_topics", """
+    SELECT _source_id, 'topic' AS origin FROM (SELECT DISTINCT _source_id FROM link WHERE redelivered AND _source_id IS NOT NULL)
+    UNION ALL SELECT _source_id, 'news' FROM (SELECT DISTINCT _source_id FROM link WHERE NOT redelivered AND _source_id IS NOT NULL) WHERE _source_id NOT IN (SELECT _source_id FROM link WHERE redelivered AND _source_id IS NOT NULL)""")
 def _(s, d):
-    return table(s, d, "customer").select("c_custkey").join(table(s, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+    t = table(s, d, "link").where("_source_id IS NOT NULL")
+    part = lambda cond, name: t.where(cond).select("_source_id").distinct().withColumn("origin", F.lit(name))
+    return reports.not_in_topics(part("NOT redelivered", "news"), part("redelivered", "topic"), "_source_id")
 
 
-@query("j13_overrides", "SELECT s_suppkey, CASE WHEN s_suppkey IN (1, 2, 3) THEN 9 ELSE 1 + s_nationkey % 3 END AS tier FROM supplier")
+@query("j13_overrides", """
+    WITH v AS (SELECT fuente, count(*) AS n FROM event_linking GROUP BY fuente), b AS (SELECT fuente, CASE WHEN n < 20 THEN 3 WHEN n < 60 THEN 2 ELSE 1 END AS tier FROM v), m AS (SELECT fuente, 9 AS tier FROM v WHERE fuente LIKE '%sur%')
+    SELECT e.row_id, coalesce(m.tier, b.tier) AS tier FROM event_linking e LEFT JOIN b ON e.fuente = b.fuente LEFT JOIN m ON e.fuente = m.fuente""")
 def _(s, d):
-    manual = s.createDataFrame([(1, 9), (2, 9), (3, 9)], "s_suppkey bigint, manual int")
-    return table(s, d, "supplier").join(manual, "s_suppkey", "left").select("s_suppkey", F.coalesce("manual", 1 + F.col("s_nationkey") % 3).cast("int").alias("tier"))
+    e = table(s, d, "event_linking").select("row_id", "fuente")
+    n = e.groupBy("fuente").agg(F.count(F.lit(1)).alias("n"))
+    base = n.select("fuente", (4 - geo.band(F.col("n"), [20, 60])).alias("tier"))
+    return reports.overridden(e, "fuente", base, n.where("fuente LIKE '%sur%'").select("fuente", F.lit(9).alias("tier")), "tier").select("row_id", "tier")
 
 
 @query("j17_near_vectors", """
-    WITH n AS (SELECT vec_id, label, embedding, sqrt(list_dot_product(CAST(embedding AS double[]), CAST(embedding AS double[]))) AS z FROM embeddings)
-    SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_dot_product(CAST(a.embedding AS double[]), CAST(b.embedding AS double[])) / (a.z * b.z) >= 0.9""")
+    WITH n AS (SELECT vec_id, CAST(embedding AS double[]) AS e, sqrt(list_dot_product(CAST(embedding AS double[]), CAST(embedding AS double[]))) AS z FROM embeddings WHERE vec_id % 100 = 0),
+    m AS (SELECT vec_id, CAST(embedding AS double[]) AS e, sqrt(list_dot_product(CAST(embedding AS double[]), CAST(embedding AS double[]))) AS z FROM embeddings)
+    SELECT a, b FROM (SELECT n.vec_id AS a, m.vec_id AS b, row_number() OVER (PARTITION BY n.vec_id ORDER BY round(list_dot_product(n.e, m.e) / (n.z * m.z), 9) DESC, m.vec_id) AS rank FROM n JOIN m ON n.vec_id <> m.vec_id) WHERE rank <= 5""")
 def _(s, d):
     t = table(s, d, "embeddings")
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda p, q: p + q)
-    n = t.select("label", "vec_id", "embedding", F.sqrt(dot(F.col("embedding"), F.col("embedding"))).alias("z"))
-    side = lambda p: n.select("label", F.col("vec_id").alias(p), F.col("embedding").alias(f"{p}_e"), F.col("z").alias(f"{p}_z"))
-    return side("a").join(side("b"), "label").where("a < b").where(dot(F.col("a_e"), F.col("b_e")) / (F.col("a_z") * F.col("b_z")) >= 0.9).select("a", "b")
+    return reports.nearest(t.where("vec_id % 100 = 0"), t, "vec_id", "embedding", 5).select("a", "b")
+
+
+@query("j17_near_duplicates")
+def _(s, d):
+    return reports.near_vectors(table(s, d, "embeddings"), "vec_id", "embedding").select("a", "b", F.round("cosine", 6).alias("cosine"))
 
 
 @query("a1_counts", "SELECT tipo_evento, estatus, count(*) AS n FROM event_linking GROUP BY ALL")
@@ -427,15 +459,24 @@ def halves(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 OLD, NEW = "(SELECT upsert_id, batch_id, entity_id, n_sources, run_tag FROM persistence WHERE upsert_id % 2 = 0)", "(SELECT upsert_id, batch_id, entity_id, n_sources, run_tag FROM persistence WHERE upsert_id % 2 = 1)"
 
 
-@query("k1_insert_new", f"SELECT DISTINCT entity_id FROM (SELECT entity_id FROM {OLD} o UNION ALL SELECT entity_id FROM {NEW} n WHERE entity_id NOT IN (SELECT entity_id FROM {OLD} x WHERE entity_id IS NOT NULL))")
+@query("k1_insert_new", f"SELECT * FROM {OLD} o UNION ALL SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY upsert_id) AS rn FROM {NEW} n) WHERE rn = 1 AND entity_id IS NOT NULL AND entity_id NOT IN (SELECT entity_id FROM {OLD} x WHERE entity_id IS NOT NULL)")
+def _(s, d):
+    return upserts.insert_new(*halves(s, d), ["entity_id"], ["upsert_id"])
+
+
+@query("k1_insert_in_run", f"SELECT * FROM {OLD} o UNION ALL SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_id, run_tag ORDER BY upsert_id) AS rn FROM {NEW} n) n WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM {OLD} x WHERE x.entity_id = n.entity_id AND x.run_tag = n.run_tag)")
+def _(s, d):
+    return upserts.insert_new(*halves(s, d), ["entity_id", "run_tag"], ["upsert_id"])
+
+
+@query("k2_upsert", f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY upsert_id DESC) AS rn FROM {NEW} n) WHERE rn = 1 OR entity_id IS NULL UNION ALL SELECT * FROM {OLD} o WHERE entity_id IS NULL OR entity_id NOT IN (SELECT entity_id FROM {NEW} x WHERE entity_id IS NOT NULL)")
 def _(s, d):
-    old, new = halves(s, d)
-    return upserts.insert_new(old, new, ["entity_id"]).select("entity_id").distinct()
+    return upserts.upsert(*halves(s, d), ["entity_id"], ["upsert_id"])
 
 
-@query("k2_upsert", f"SELECT * FROM {NEW} n UNION ALL SELECT * FROM {OLD} o WHERE entity_id IS NULL OR entity_id NOT IN (SELECT entity_id FROM {NEW} x WHERE entity_id IS NOT NULL)")
+@query("k9_replace_children", f"SELECT * FROM {NEW} n UNION ALL SELECT * FROM {OLD} o WHERE batch_id IS NULL OR batch_id NOT IN (SELECT batch_id FROM {NEW} x WHERE batch_id IS NOT NULL)")
 def _(s, d):
-    return upserts.upsert(*halves(s, d), ["entity_id"])
+    return upserts.replace_children(*halves(s, d), "batch_id")
 
 
 @query("k4_union_sources", """
@@ -447,9 +488,12 @@ def _(s, d):
     return both.select("entity_id", F.array_join(F.array_sort("source_ids"), ",").alias("sources"))
 
 
-@query("k7_ledger", "SELECT DISTINCT _source_id, _supertype, payload FROM link WHERE _source_id IS NOT NULL")
+@query("k7_ledger", """
+    SELECT _source_id, _supertype, payload, batch_id AS linked, sha256('{"_supertype":"' || _supertype || '"' || CASE WHEN payload IS NULL THEN '' ELSE ',"payload":' || to_json(payload) END || '}') AS record_hash
+    FROM (SELECT *, row_number() OVER (PARTITION BY _source_id, _supertype, payload ORDER BY delivered_at DESC, delivery_id DESC) AS rn FROM link WHERE _source_id IS NOT NULL AND _supertype IS NOT NULL) WHERE rn = 1""")
 def _(s, d):
-    return upserts.ledger(table(s, d, "link").select("_source_id", "_supertype", "payload"), "_source_id", ["_supertype", "payload"]).drop("record_hash")
+    t = table(s, d, "link").where("_supertype IS NOT NULL").select("_source_id", "_supertype", "payload", F.col("batch_id").alias("linked"), "delivered_at", "delivery_id")
+    return upserts.ledger(t, "_source_id", ["_supertype", "payload"], ["linked"], ["delivered_at", "delivery_id"])
 
 
 @query("k8_delete_run", "SELECT upsert_id FROM persistence WHERE run_tag IS NULL OR run_tag <> 'run_058'")
