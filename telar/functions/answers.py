@@ -75,7 +75,7 @@ def rendered(template: Column, values: dict[str, Column]) -> Column:
 def turns(template: Column) -> Column:
     """array<struct<role,content>> of a text with headers SYSTEM: and USER: at the starts of lines."""
     parts = F.filter(F.split(template, r"(?m)^(?=(?:SYSTEM|USER):)"), lambda x: F.trim(x) != "")
-    return F.transform(parts, lambda x: F.struct(F.lower(F.regexp_extract(x, r"^(SYSTEM|USER):", 1)).alias("role"), F.trim(F.regexp_replace(x, r"^(SYSTEM|USER):", "")).alias("content")))
+    return F.transform(parts, lambda x: F.struct(F.lower(F.regexp_extract(x, r"^(SYSTEM|USER):", 1)).alias("role"), F.regexp_replace(x, r"^(SYSTEM|USER):\s*|\s+$", "").alias("content")))
 
 
 def question(incoming: Column, candidates: Column) -> Column:

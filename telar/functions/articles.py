@@ -67,7 +67,7 @@ def articles(raw: DataFrame, payload: str = "payload", key: str | None = None) -
     return t.withColumn("source_type", F.col("document_type"))
 
 
-def with_provenance(entities: DataFrame, source: str = "source_id", **known: Column) -> DataFrame:
+def with_provenance(entities: DataFrame, **known: Column) -> DataFrame:
     """``entities`` with provenance columns filled where they are null or absent."""
     return entities.withColumns({k: F.coalesce(F.col(k), c) if k in entities.columns else c for k, c in known.items()})
 

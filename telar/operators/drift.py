@@ -54,16 +54,12 @@ TARGETS = (
 
 def kind(v: Column) -> Column:
     """The JSON type of a variant: object, array, string, boolean, number, or null."""
-    s = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull() | (s == "VOID"), None).when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array")
-        .when(s == "STRING", "string").when(s == "BOOLEAN", "boolean").otherwise("number")
-    )
+    return F.when(v.isNotNull(), let(F.schema_of_variant(v), lambda s: F.when(s != "VOID", F.when(s == "STRING", "string").when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array").when(s == "BOOLEAN", "boolean").otherwise("number"))))
 
 
 def _fields(payload: Column) -> Column:
-    # from_json alone would keep the fields before the point where a line is cut off.
-    return F.when(F.try_parse_json(payload).isNotNull() & F.ltrim(payload).startswith("{"), F.from_json(payload, "map<string,variant>"))
+    # from_json would keep the fields before the point where a line is cut off.
+    return F.try_variant_get(F.try_parse_json(payload), "$", "map<string,variant>")
 
 
 def _typed(v: Column, type_: str) -> Column:
@@ -102,7 +98,8 @@ def _loose(v: Column, type_: str) -> Column:
 
 
 def replay(ingested: DataFrame, targets: tuple[Target, ...] = TARGETS) -> DataFrame:
-    """``ingested`` with null typed columns filled from the rescued values of the same or an approved name, in that order."""
+    """``ingested`` with null typed columns filled from the rescued values of the same or an approved name, in that order.
+    A field that went into a column as a whole leaves ``_rescued``; an object of which members were taken stays."""
 
     def found(m: Column, name: str) -> Column:
         top, _, rest = name.partition(".")
@@ -112,11 +109,16 @@ def replay(ingested: DataFrame, targets: tuple[Target, ...] = TARGETS) -> DataFr
         return v
 
     def filled(m: Column) -> Column:
-        pick = lambda t: F.coalesce(*[let(found(m, n), lambda v: F.when(v.isNotNull(), _loose(v, t.type))) for n in (t.name, *t.approved)])
-        return F.struct(*[F.coalesce(F.col(t.name), pick(t)).alias(t.name) for t in targets])
+        # The first value that can be had, with the name it has in the rescued fields.
+        named = lambda t, n: let(found(m, n), lambda v: F.when(v.isNotNull(), let(_loose(v, t.type), lambda x: F.when(x.isNotNull(), F.struct(x.alias("x"), F.lit(n).alias("n"))))))
+        pick = lambda t: F.when(F.col(t.name).isNull(), F.coalesce(*[named(t, n) for n in (t.name, *t.approved)]))
+        return F.struct(*[pick(t).alias(t.name) for t in targets])
 
-    out = ingested.withColumn("_filled", let(F.from_json("_rescued", "map<string,variant>"), lambda m: F.when(m.isNotNull(), filled(m))))
-    return out.select("_source", "_readable", *[F.coalesce(F.col(f"_filled.{t.name}"), F.col(t.name)).alias(t.name) for t in targets], "_rescued")
+    out = ingested.withColumn("_map", F.from_json("_rescued", "map<string,variant>"))
+    out = out.withColumn("_filled", let(F.col("_map"), lambda m: F.when(m.isNotNull(), filled(m))))
+    used = F.array(*[F.col(f"_filled.{t.name}.n") for t in targets])
+    left = F.when(F.col("_map").isNotNull(), F.to_json(let(used, lambda u: F.map_filter("_map", lambda k, v: ~F.coalesce(F.array_contains(F.array_compact(u), k), F.lit(False))))))
+    return out.select("_source", "_readable", *[F.coalesce(F.col(t.name), F.col(f"_filled.{t.name}.x")).alias(t.name) for t in targets], left.alias("_rescued"))
 
 
 def _previous(files: DataFrame, group: str, seq: str, width: int = 1024) -> DataFrame:
@@ -133,13 +135,15 @@ def changes(ingested: DataFrame, group: str = "feed", seq: str = "file_seq", rec
     base = ingested.select(F.col(f"_source.{group}").alias("g"), F.col(f"_source.{seq}").alias("s"), "_fields").where("g IS NOT NULL AND s IS NOT NULL")
     rec = F.try_variant_get(F.try_element_at(F.col("_fields"), F.lit(record)), "$", "string")
     inner = F.try_variant_get(F.try_element_at(F.col("_fields"), F.lit(nested)), "$", "map<string,variant>")
-    rows = base.select("g", "s", rec.alias("rec"), F.explode(F.concat(
-        F.transform(F.map_entries("_fields"), lambda e: F.struct(e["key"].alias("campo"), e["value"].alias("v"))),
-        F.coalesce(F.transform(F.map_entries(inner), lambda e: F.struct(F.concat(F.lit(nested + "."), e["key"]).alias("campo"), e["value"].alias("v"))), F.array()),
-    )).alias("f")).select("g", "s", "rec", "f.campo", "f.v", kind(F.col("f.v")).alias("kind"))
+    # The lines are parsed once and written with each field's type; the steps below read the columns they need.
+    entry = lambda name, v: F.struct(name.alias("campo"), v.alias("v"), kind(v).alias("kind"))
+    base = cut(base.select("g", "s", rec.alias("rec"), F.concat(
+        F.transform(F.map_entries("_fields"), lambda e: entry(e["key"], e["value"])),
+        F.coalesce(F.transform(F.map_entries(inner), lambda e: entry(F.concat(F.lit(nested + "."), e["key"]), e["value"])), F.array()),
+    ).alias("f")))
 
     kinds = ("array", "boolean", "number", "object", "string")
-    inv = rows.groupBy("g", "s", "campo").agg(*[F.max(F.when(F.col("kind") == k, 1).otherwise(0)).alias(k) for k in kinds])
+    inv = base.select("g", "s", F.explode(F.transform("f", lambda x: F.struct(x["campo"].alias("campo"), x["kind"].alias("kind")))).alias("f")).groupBy("g", "s", "f.campo").agg(*[F.max(F.when(F.col("f.kind") == k, 1).otherwise(0)).alias(k) for k in kinds])
     # Inventories, differences and renamings are small against the lines and used several times: each is written once.
     inv = cut(inv.select("g", "s", "campo", F.concat(*[F.when(F.col(k) == 1, k[0]).otherwise("") for k in kinds]).alias("kinds")))
     files = base.select("g", "s").distinct()
@@ -156,11 +160,20 @@ def changes(ingested: DataFrame, group: str = "feed", seq: str = "file_seq", rec
 
     gone, come = diff.where("now IS NULL"), diff.where("was IS NULL")
     at = pairs.select("g", "s", "before")
-    old = gone.join(at, ["g", "s"]).join(rows.select("g", F.col("s").alias("before"), "rec", "campo", F.to_json("v").alias("x")).where("rec IS NOT NULL"), ["g", "before", "campo"])
-    new = come.join(rows.select("g", "s", "rec", "campo", F.to_json("v").alias("y")).where("rec IS NOT NULL"), ["g", "s", "campo"])
+    # Values are read only from files in which a field went and another of its kind came, and only of these fields.
+    both_ways = diff.groupBy("g", "s", "scope").agg(F.count_if(F.col("now").isNull()).alias("gone"), F.count_if(F.col("was").isNull()).alias("come")).where("gone > 0 AND come > 0").select("g", "s", "scope")
+    need = lambda side: side.join(both_ways, ["g", "s", "scope"], "left_semi").groupBy("g", "s").agg(F.collect_set("campo").alias("need"))
+    lines = base.where("rec IS NOT NULL")
+
+    def values(wanted: DataFrame, name: str, value: str) -> DataFrame:
+        items = F.transform(F.filter("f", lambda x: F.array_contains("need", x["campo"])), lambda x: F.struct(x["campo"].alias(name), F.to_json(x["v"]).alias(value)))
+        return wanted.select("g", "s", "rec", F.inline(items)).withColumn("scope", F.col(name).startswith(nested + "."))
+
+    old = values(lines.withColumnRenamed("s", "before").join(need(gone).join(at, ["g", "s"]), ["g", "before"]), "a", "x")
+    new = values(lines.join(need(come), ["g", "s"]), "b", "y")
     null = lambda c: F.coalesce(F.col(c), F.lit("null")) == "null"
     same = (
-        old.select("g", "s", "scope", "rec", F.col("campo").alias("a"), "x").join(new.select("g", "s", "scope", "rec", F.col("campo").alias("b"), "y"), ["g", "s", "scope", "rec"])
+        old.join(new, ["g", "s", "scope", "rec"])
         .groupBy("g", "s", "a", "b").agg(F.count_if(~null("x") & (F.col("x") == F.col("y"))).alias("eq"), F.count_if((~null("x") | ~null("y")) & ~F.col("x").eqNullSafe(F.col("y"))).alias("ne"))
         .where("eq > 0 AND ne = 0")
     )

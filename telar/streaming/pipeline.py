@@ -42,7 +42,7 @@ def once(stream: DataFrame, key: str, time: str, within: str = PROCESSED) -> Dat
 
 def current(log: DataFrame, now: Column, processed: int = PROCESSED_SECONDS, claim: int = CLAIM_SECONDS) -> DataFrame:
     """(id, state): what each document is now. Processed outlives everything; a claim lapses; released is nothing."""
-    age = now.cast("timestamp").cast("long") - F.col("at").cast("long")
+    age = now.cast("timestamp").cast("long") - F.col("at").cast("timestamp").cast("long")
     alive = F.when(F.col("state") == "processed", age < processed).when(F.col("state") == "processing", age < claim).otherwise(F.lit(True))
     t = log.where("id IS NOT NULL AND id <> ''").where(alive)
     done = F.max(F.when(F.col("state") == "processed", 1).otherwise(0))
