@@ -81,6 +81,15 @@ def _defaulted(schema: Schema, name: str, s: Column, functions: Functions, root:
     return F.struct(*fields)
 
 
+def _outside(c: Column, allowed: list[str], many: bool) -> Column:
+    return F.exists(c, lambda x: ~x.isin(*allowed)) if many else ~c.isin(*allowed)
+
+
+def _in_items(schema: Schema, name: str, items: Column, functions: Functions, path: str) -> Column:
+    """The violations within the objects of a list."""
+    return F.flatten(F.transform(items, lambda x: F.concat(*_violations(schema, name, x, functions, path), F.array().cast(VIOLATION))))
+
+
 def _violations(schema: Schema, name: str, s: Column, functions: Functions, path: str) -> list[Column]:
     out = []
     for f, spec in schema[name].items():
@@ -92,13 +101,13 @@ def _violations(schema: Schema, name: str, s: Column, functions: Functions, path
             out += _violations(schema, kind, c, functions, f"{path}{f}.")
             empty = F.lit(False)
         elif kind.startswith("List[") and inner in schema:
-            out.append(F.flatten(F.transform(c, lambda x, f=f, inner=inner: F.concat(*_violations(schema, inner, x, functions, f"{path}{f}[]."), F.array().cast(VIOLATION)))))
+            out.append(_in_items(schema, inner, c, functions, f"{path}{f}[]."))
         if spec.get("required"):
             out.append(say(empty, "required"))
         elif "required_fn" in spec:
             out.append(say(empty & F.coalesce(functions[spec["required_fn"]](lambda p, s=s: s[p]), F.lit(False)), "required"))
         if spec.get("enum"):
-            bad = ~c.isin(*spec["enum"]) if not kind.startswith("List[") else F.exists(c, lambda x, spec=spec: ~x.isin(*spec["enum"]))
+            bad = _outside(c, spec["enum"], kind.startswith("List["))
             out.append(say(F.coalesce(bad, F.lit(False)), "not allowed"))
         if kind == "Url":
             out.append(say(c.isNotNull() & ~is_url(c), "no address"))
