@@ -17,7 +17,8 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The consistent form of every title and body."""
-    return table(spark, sf_dir, "run_extraction").select("rec_id", normal.normalize(F.col("title")).alias("title"), normal.normalize(F.col("body")).alias("body"))
+    t = table(spark, sf_dir, "run_extraction").select("rec_id", "title", "body")
+    return normal.normalized(normal.normalized(t, "title", "title"), "body", "body")
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
