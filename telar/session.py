@@ -66,6 +66,13 @@ def dropped(df: DataFrame) -> None:
             path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores. A scan of fewer splits than cores is a few megabytes, and dealt out row by row; larger scans
+    have splits enough and are left alone, so that tables of size are never shuffled for this."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def local_session(cores: str = "8", app: str = "telar", **conf: str) -> SparkSession:
     """A local session with the settings tests and bench use."""
     b = (
