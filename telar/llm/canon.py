@@ -60,7 +60,8 @@ def reference(ref: DataFrame) -> DataFrame:
 def _readings(v: Column, clase: Column) -> Column:
     """array<struct<p,f>>: the plain value and its relieved forms, in order of trust."""
     p = plain(v)
-    tail = F.regexp_replace(p, r" (mexico|mex|mx|estado|edo|pais|republica mexicana|[a-z]{2})$", "")
+    # A code counts as added only in brackets: two letters at the end may be all that is left of a word.
+    tail = F.regexp_replace(plain(F.regexp_replace(v, r"\([A-Za-z]{2,3}\)\s*$", "")), r" (mexico|mex|mx|estado|edo|pais|republica mexicana)$", "")
     head = F.regexp_replace(p, r"^(en el|en la|en|edo de|edo|estado de|estado libre y soberano de|el estado de|republica de|reino de) ", "")
     both = F.regexp_replace(tail, r"^(en el|en la|en|edo de|edo|estado de|republica de|reino de) ", "")
     return F.array(*[F.struct(F.lit(i).alias("p"), f.alias("f")) for i, f in ((0, p), (1, tail), (1, head), (2, both))])
@@ -97,19 +98,21 @@ def mapped(values: DataFrame, ref: DataFrame) -> DataFrame:
     fuzzy = candidates.select("*", d.alias("d"), moved.alias("moved")).where(near)
     fuzzy = fuzzy.groupBy("clase", "v", "ref_id").agg(F.min(F.struct("d", "p")).alias("c"))
     fuzzy = fuzzy.groupBy("clase", "v").agg(F.min("c.d").alias("d"), F.collect_set(F.struct("c.d", "ref_id")).alias("all"))
-    fuzzy = fuzzy.select("clase", "v", F.transform(F.filter("all", lambda x: x["d"] == F.col("d")), lambda x: x["ref_id"]).alias("ids"))
-    fuzzy = cut(fuzzy)
+    fuzzy = fuzzy.select("clase", "v", "d", F.transform(F.filter("all", lambda x: x["d"] == F.col("d")), lambda x: x["ref_id"]).alias("ids"))
+    fuzzy = cut(fuzzy.select("clase", "v", "d", "ids"))
 
-    # Abbreviated words: as many words, each a beginning or a skeleton of the name's word.
+    # Abbreviated words: as many words, each a beginning or a skeleton of the name's word. Letters left out of words are an
+    # abbreviation sooner than two slips towards another string ("cd de mexico" isn't "edo de mexico").
     words = lambda c: F.filter(F.split(c, " "), lambda x: ~x.isin("de", "del", "la", "el"))
-    rest = open_.join(fuzzy, ["clase", "v"], "left_anti").select("clase", "v", "f", words(F.col("f")).alias("a")).withColumns({"m": F.size("a"), "first": F.substring(F.element_at("a", 1), 1, 1)}).where("m >= 2")
+    rest = open_.join(fuzzy.where("d < 2"), ["clase", "v"], "left_anti").select("clase", "v", "f", words(F.col("f")).alias("a")).withColumns({"m": F.size("a"), "first": F.substring(F.element_at("a", 1), 1, 1)}).where("m >= 2")
     full = strings.where("w = 0").select("clase", "ref_id", words(F.col("s")).alias("b")).withColumns({"m": F.size("b"), "first": F.substring(F.element_at("b", 1), 1, 1)})
     skeleton = lambda x, y: (F.length(x) < F.length(y)) & F.rlike(y, F.concat(F.lit("^"), F.regexp_replace(x, "(.)", "$1.*"))) | (x == y)
     short = rest.join(full, ["clase", "m", "first"]).where(F.forall(F.zip_with("a", "b", skeleton), lambda x: x))
     short = short.groupBy("clase", "v").agg(F.collect_set("ref_id").alias("ids"))
 
     one = lambda t: t.where(F.size("ids") == 1).select("clase", "v", F.element_at("ids", 1).alias("ref_id"))
-    hit = cut(one(exact).unionByName(one(fuzzy)).unionByName(one(short)))
+    short = cut(one(short))
+    hit = cut(one(exact).unionByName(short).unionByName(one(fuzzy).join(short, ["clase", "v"], "left_anti")))
     return hit.unionByName(values.select("clase", "v").join(hit, ["clase", "v"], "left_anti").select("clase", "v", F.lit(-1).cast("bigint").alias("ref_id")))
 
 

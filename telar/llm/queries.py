@@ -7,17 +7,17 @@ from pyspark.sql import functions as F
 
 from telar.functions.instants import zone_ids
 from telar.llm import bpe, canon, fusion, garbled, normal, packing, places
-from telar.session import cut, table
+from telar.session import cut, spread, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = normal.same_reading(table(spark, sf_dir, "run_extraction"), "rec_id", ["title", "body"])
+    out = normal.same_reading(spread(table(spark, sf_dir, "run_extraction").select("rec_id", "title", "body")), "rec_id", ["title", "body"])
     return out.select("campo", F.col("a").alias("rec_id_a"), F.col("b").alias("rec_id_b"))
 
 
 def p1_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The consistent form of every title and body."""
-    t = table(spark, sf_dir, "run_extraction").select("rec_id", "title", "body")
+    t = spread(table(spark, sf_dir, "run_extraction").select("rec_id", "title", "body"))
     return normal.normalized(normal.normalized(t, "title", "title"), "body", "body")
 
 
@@ -38,11 +38,11 @@ def p5_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = table(spark, sf_dir, "event_linking").select("row_id", "calle", "numero", "colonia", "lugar", "ciudad")
+    t = spread(table(spark, sf_dir, "event_linking").select("row_id", "calle", "numero", "colonia", "lugar", "ciudad"))
     return places.same_place(t, "row_id").select(F.col("a").alias("row_id_a"), F.col("b").alias("row_id_b"))
 
 

@@ -50,7 +50,7 @@ def test_same_reading_pairs(spark):
 def test_canon(spark, sf):
     ref = spark.read.parquet(f"{sf}/ref_lugares.parquet")
     names = {r.ref_id: r.nombre for r in ref.collect()}
-    cases = {"jalisco": "Jalisco", "Guanaujato": "Guanajuato", "en Sonora": "Sonora", "Nvo. León": "Nuevo León", "N.L.": "Nuevo León", "Texas": None, "California": None, "Qro": "Querétaro", "MX-CMX": "Ciudad de México", "S/D": None, "Nuevo México": None, "CHIAPAAS": "Chiapas"}
+    cases = {"jalisco": "Jalisco", "Guanaujato": "Guanajuato", "en Sonora": "Sonora", "Nvo. León": "Nuevo León", "N.L.": "Nuevo León", "Texas": None, "California": None, "Qro": "Querétaro", "MX-CMX": "Ciudad de México", "S/D": None, "Nuevo México": None, "CHIAPAAS": "Chiapas", "Cd. de México": "Ciudad de México", "Baja California ur": "Baja California Sur", "Sonora (MX)": "Sonora", "S. L. Potosí": "San Luis Potosí"}
     df = spark.createDataFrame([(i, v, None) for i, v in enumerate([*cases, "Jalisco", None, "  "])], "k bigint, estado string, pais string")
     got = {r.k: names.get(r.ref_id) for r in canon.found(df, ref, "k", ["estado", "pais"]).collect()}
     assert got == {i: v for i, v in enumerate(cases.values())}
