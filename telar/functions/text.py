@@ -9,6 +9,8 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from telar.functions.instants import let
+
 
 @lru_cache(maxsize=2)
 def _folding(form: str) -> tuple[str, str, dict[str, str]]:
@@ -24,7 +26,7 @@ def _folding(form: str) -> tuple[str, str, dict[str, str]]:
 
 def strip_accents(c: Column) -> Column:
     """Canonical decomposition without the marks."""
-    return F.translate(F.regexp_replace(c, r"\p{Mn}", ""), *_folding("NFD")[:2])
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(F.regexp_replace(c, r"\p{Mn}", ""), *_folding("NFD")[:2])).otherwise(c)
 
 
 def normalize_text(c: Column) -> Column:
@@ -35,11 +37,13 @@ def normalize_text(c: Column) -> Column:
 def name_key(c: Column) -> Column:
     """Letters and digits of the compatibility form only: spacing, punctuation, width and accents don't tell names apart."""
     fold = _folding("NFKD")
-    out = F.translate(F.regexp_replace(F.lower(c), r"\p{Mn}", ""), *fold[:2])
     # Signs that stand for several letters or digits; few texts have one.
     several = {k: kept for k, v in fold[2].items() if (kept := re.sub("[^a-z0-9]", "", v))}
-    spelled = F.array_join(F.transform(F.split(out, ""), lambda x: F.coalesce(F.try_element_at(F.create_map(*[F.lit(y) for kv in several.items() for y in kv]), x), x)), "")
-    return F.regexp_replace(F.when(out.rlike("[" + "".join(several) + "]"), spelled).otherwise(out), "[^a-z0-9]", "")
+    signs = F.create_map(*[F.lit(y) for kv in several.items() for y in kv])
+    spelled = lambda x: F.array_join(F.transform(F.split(x, ""), lambda y: F.coalesce(F.try_element_at(signs, y), y)), "")
+    folded = lambda x: let(F.translate(F.regexp_replace(x, r"\p{Mn}", ""), *fold[:2]), lambda y: F.when(y.rlike("[" + "".join(several) + "]"), spelled(y)).otherwise(y))
+    # Most names are ASCII and need no table.
+    return F.regexp_replace(let(F.lower(c), lambda x: F.when(x.rlike(r"[^\x00-\x7F]"), folded(x)).otherwise(x)), "[^a-z0-9]", "")
 
 
 def slug(c: Column) -> Column:
@@ -56,10 +60,17 @@ def trigrams(key: Column) -> Column:
 
 def name_similarity(a: Column, b: Column) -> Column:
     """Jaccard similarity of the names' trigrams; 0 where a name is null or empty; keys under 3 characters must be equal."""
-    ka, kb = name_key(F.coalesce(a, F.lit(""))), name_key(F.coalesce(b, F.lit("")))
-    both = F.size(F.array_intersect(trigrams(ka), trigrams(kb))) / F.size(F.array_union(trigrams(ka), trigrams(kb)))
-    short = F.least(F.length(ka), F.length(kb)) < 3
-    return F.when((ka == "") | (kb == ""), 0.0).when(short, (ka == kb).cast("double")).otherwise(both)
+    def jaccard(x: Column, y: Column) -> Column:
+        return let(F.size(F.array_intersect(x, y)), lambda n: n / (F.size(x) + F.size(y) - n))  # both hold each piece once
+
+    def compared(k: Column) -> Column:
+        ka, kb = k[0], k[1]
+        short = F.least(F.length(ka), F.length(kb)) < 3
+        pieces = let(F.array(trigrams(ka), trigrams(kb)), lambda t: jaccard(t[0], t[1]))
+        return F.when((ka == "") | (kb == ""), 0.0).when(short, (ka == kb).cast("double")).otherwise(pieces)
+
+    # Keys and pieces are bound, to be made once a pair.
+    return let(F.array(name_key(F.coalesce(a, F.lit(""))), name_key(F.coalesce(b, F.lit("")))), compared)
 
 
 def parse_list(c: Column) -> Column:
