@@ -138,7 +138,9 @@ def separated(rows: list[tuple[str, str, str, int]], kept: float = 0.75, chance:
     """
     n = {(a, c, b): k for a, c, b, k in rows}
     letters = [(key, k) for key, k in n.items() if key[0].isalpha() or key[2].isalpha()]
-    rates, expected = [], Counter()
+    rates, expected, coarse = [], Counter(), Counter()
+    classed = lambda key: (_class(key[0]), key[1], _class(key[2]))
+    places = Counter((_class(a), _class(b)) for a, b in {(key[0], key[2]) for key in n})
     for pair in BYTE_AS:
         forward = {}
         for damaged, original in _inverse(pair).items():
@@ -152,10 +154,12 @@ def separated(rows: list[tuple[str, str, str, int]], kept: float = 0.75, chance:
         rate = (hits + 0.1) / (seen + 1000.0)
         rates.append(rate)
         for _, k, key in ratios:
-            expected[key[0], forward[key[1]], key[2]] += rate * k
+            yielded = (key[0], forward[key[1]], key[2])
+            expected[yielded] += rate * k
+            coarse[classed(yielded)] += rate * k
 
-    def clean(key: tuple[str, str, str], k: int) -> float:
-        mean = BURST * expected.get(key, 0.0)
+    def excess(mean: float, k: int) -> float:
+        mean *= BURST
         term, below = math.exp(-mean), 0.0
         for i in range(min(k, 100_000)):
             below += term
@@ -164,7 +168,13 @@ def separated(rows: list[tuple[str, str, str, int]], kept: float = 0.75, chance:
                 break
         return 0.0 if 1 - below > chance else max(0.0, k - mean)
 
-    return [(a, c, b, clean((a, c, b), k) if expected.get((a, c, b)) else float(k)) for a, c, b, k in rows], rates
+    def clean(key: tuple[str, str, str], k: int) -> float:
+        # Where the original is rare between the same neighbours, its mean between neighbours of their classes stands in.
+        at = classed(key)
+        mean = max(expected.get(key, 0.0), coarse.get(at, 0.0) / max(1, places[at[0], at[2]]))
+        return excess(mean, k) if mean else float(k)
+
+    return [(a, c, b, clean((a, c, b), k)) for a, c, b, k in rows], rates
 
 
 class Model:

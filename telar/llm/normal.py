@@ -36,9 +36,9 @@ LOOKALIKES = dict(zip(
     "aeopcyxijshdqwlvABESKMHOPCTXYIJQWVI" "ovapikucjABEZHIKMNOPTYXCJ" "hnuogSO" "ABCDEGHJKLMPRSTVWZ" "agAGij--", strict=True))
 
 #: Characters that need no look: ASCII, composed Latin letters, common signs and punctuation.
-_STABLE = r"\t\n\r\x20-\x7E¡¢£§©«®°±»¿À-ÖØ-öø-ľŁ-ňŊ-žƠơƯư–—‘’‚“”„†‡•€"
+_STABLE = r"\t\n\r\x20-\x7E¡¢£§©«®°±»¿À-ÖØ-öø-İĴ-ľŁ-ňŊ-žƠơƯư–—‘’‚“”„†‡•€"
 #: Letters of that set and digits: the rest of a word around an unstable character.
-_LETTER = r"A-Za-z0-9À-ÖØ-öø-ľŁ-ňŊ-ž"
+_LETTER = r"A-Za-z0-9À-ÖØ-öø-İĴ-ľŁ-ňŊ-ž"
 SEGMENT = rf"(?<![{_LETTER}])[{_LETTER}]*+[^{_STABLE}][{_LETTER}[^{_STABLE}]]*+"
 
 # Control and format characters, fillers, joiners, variation selectors and tags.
