@@ -79,6 +79,7 @@ def local_session(cores: str = "8", app: str = "telar", **conf: str) -> SparkSes
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.files.openCostInBytes", str(256 * 1024))  # small test files are split over the cores
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")

@@ -66,7 +66,7 @@ def test_stream_and_damaged_lines(spark, tmp_path):
 def test_all_candidates_against_brute_force(spark):
     rng, day = Random(4), date(2024, 3, 1)
     rows = []
-    for i in range(150):
+    for i in range(400):
         path, depth = {}, rng.choice([0, 1, 2, 3, 4, 5, 6])
         for n in (1, 2, 3, 5, 6, 7)[:depth]:
             path[n] = (path.get({2: 1, 3: 2, 5: 3, 6: 5, 7: 6}.get(n, 0), "_") + str(rng.randint(0, 1) if n < 5 else 0))
