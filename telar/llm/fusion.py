@@ -82,7 +82,7 @@ def _posteriors(votes: DataFrame, acc: DataFrame, pair: DataFrame | None, group:
     return cut(shifted.join(total, item).select(*item, "v", "record", (F.exp(F.col("score") - F.col("m")) / F.col("z")).alias("posterior")))
 
 
-def _copies(judged: DataFrame, acc: DataFrame, group: str, wrong: int, copying: float, prior: float) -> DataFrame:
+def _copies(judged: DataFrame, acc: DataFrame, fields: int, group: str, wrong: int, copying: float, prior: float) -> DataFrame:
     """(s, o, p): the probability that source ``s`` copies ``o``, for pairs that share a probably false value.
 
     Only votes for values that are probably false are joined, on the value: what is true is shared by all good sources and
@@ -94,7 +94,6 @@ def _copies(judged: DataFrame, acc: DataFrame, group: str, wrong: int, copying:
     false = judged.where("posterior < 0.5").select(*item, "v", "s", (1 - F.col("posterior")).alias("f"))
     kf = false.join(false.select(*item, "v", F.col("s").alias("o")), [*item, "v"]).where("s < o").groupBy("s", "o").agg(F.sum("f").alias("kf"))
     spoken = judged.groupBy("s").agg(F.count(F.lit(1)).alias("n")).join(acc, "s")
-    fields = judged.select(*item).distinct().agg(F.count(F.lit(1)).alias("fields")).first()[0]  # one number
     x, y = spoken.select("s", F.col("n").alias("ns"), F.col("a").alias("a")), spoken.select(F.col("s").alias("o"), F.col("n").alias("no"), F.col("a").alias("ao"))
     t = kf.join(x, "s").join(y, "o")
     c, es, eo = F.lit(copying), 1 - F.col("a"), 1 - F.col("ao")
@@ -108,7 +107,7 @@ def _copies(judged: DataFrame, acc: DataFrame, group: str, wrong: int, copying:
     return t.select(F.inline(F.array(F.struct("s", "o", F.col("p1").alias("p")), F.struct(F.col("o").alias("s"), F.col("s").alias("o"), F.col("p2").alias("p"))))).where("p > 0.01")
 
 
-def fused(found: DataFrame, group: str, source: str, record: str, turns: int = 30, settled: float = 0.02, wrong: int = 10, copying: float = 0.8, accuracy: float = 0.8, prior: float = 0.1) -> DataFrame:
+def fused(found: DataFrame, group: str, source: str, record: str, turns: int = 30, settled: float = 0.03, wrong: int = 10, copying: float = 0.8, accuracy: float = 0.8, prior: float = 0.1) -> DataFrame:
     """(group, campo, valor, record, posterior): the value of maximum posterior of each field of each group.
 
     ``found`` are claims with ``source``; ``wrong`` is the number of false values a field is taken to have, ``copying`` the
@@ -119,13 +118,14 @@ def fused(found: DataFrame, group: str, source: str, record: str, turns: int = 3
     # Claims of no source are as many votes as there are records, in one row; those of a source are one vote.
     votes = cut(found.groupBy(group, "campo", F.lower(F.trim("valor")).alias("v"), F.col(source).alias("s")).agg(F.min(record).alias("record"), F.count(F.lit(1)).alias("n")).withColumn("n", F.when(F.col("s").isNull(), F.col("n")).otherwise(1)))
     acc = cut(votes.where("s IS NOT NULL").groupBy("s").agg(F.lit(accuracy).alias("a")))
+    fields = votes.where("s IS NOT NULL").select(group, "campo").distinct().count()
     pair = None
     for _ in range(turns):
         post = _posteriors(votes, acc, pair, group, wrong, copying, accuracy)
         judged = votes.where("s IS NOT NULL").join(post.drop("record"), [group, "campo", "v"])
         new = judged.groupBy("s").agg(F.least(F.greatest(F.avg("posterior"), F.lit(0.05)), F.lit(0.95)).alias("b"))
         new = cut(acc.join(new, "s").select("s", (0.25 * F.col("a") + 0.75 * F.col("b")).alias("a"), F.abs(0.75 * (F.col("b") - F.col("a"))).alias("moved")))
-        pair = cut(_copies(judged, new.drop("moved"), group, wrong, copying, prior))
+        pair = cut(_copies(judged, new.drop("moved"), fields, group, wrong, copying, prior))
         moved = new.agg(F.max("moved")).first()[0]
         acc = new.drop("moved")
         if moved is None or moved <= settled:
