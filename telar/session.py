@@ -52,9 +52,17 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: its lineage is cut, a lost executor loses nothing of
     it, and later steps prune its columns and know its size. ``dropped`` removes it."""
-    path = f"{shared_dir(df.sparkSession)}/telar-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/telar-{uuid.uuid4().hex}"
+    # The driver keeps the description of every plan; those of intermediate tables needn't be whole.
+    name = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "10000")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def dropped(df: DataFrame) -> None:
