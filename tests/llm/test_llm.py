@@ -125,6 +125,24 @@ def test_places_near_values_and_missing_parts(spark):
     assert {tuple(r) for r in places.admitted(forms).collect()} == {(1, 2), (1, 3), (2, 3), (2, 4), (3, 4)}
 
 
+def test_places_plans_are_small(spark, monkeypatch):
+    # The driver holds every plan while it runs: none has many joins, and no exploded side is gathered as a small table.
+    plans = []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return places_cut(df)
+
+    places_cut = places.cut
+    monkeypatch.setattr(places, "cut", seen)
+    rows = [(i, f"Calle {w} {n}", None, None, f"Plaza {w}", c) for i, (w, n, c) in enumerate([("tolstoy", 5, "zamora"), ("tolstoi", 5, "zamora"), ("lermontov", 7, None), ("lermontof", 7, "zamora")])]
+    out = places.same_place(spark.createDataFrame(rows, "k bigint, calle string, numero string, colonia string, lugar string, ciudad string"), "k")
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert {tuple(r) for r in out.collect()} == {(0, 1), (2, 3)}
+    assert max(p.count("Join") for p in plans) <= 5
+    assert any("SortMergeJoin [part#" in p for p in plans) and not any(f"BroadcastHashJoin [{k}#" in p for p in plans for k in ("part", "block"))
+
+
 needs_vocabulary = pytest.mark.skipif(importlib.util.find_spec("tiktoken") is None, reason="tiktoken")
 
 
