@@ -125,6 +125,21 @@ def test_places_near_values_and_missing_parts(spark):
     assert {tuple(r) for r in places.admitted(forms).collect()} == {(1, 2), (1, 3), (2, 3), (2, 4), (3, 4)}
 
 
+def test_places_weights_do_not_fall_with_the_table(spark):
+    # Counts of agreement vectors as 60 times the larger test table has them (extrapolated): excluded pairs outnumber the
+    # admitted ones tenfold, and an equal venue in an equal city, with nothing else written, is still one place.
+    counts = (
+        "000131:1601 310131:1355 001131:1224 000132:1116 311131:984 310132:886 000130:845 001132:812 310130:772 001130:762 311132:623 210131:579 311130:576 211131:444 210132:386 210130:325 "
+        "211132:279 211130:235 311031:233 001021:167 311032:154 110311:153 311030:126 000021:121 310031:117 111311:114 001031:108 110111:101 000111:95 000121:94 320300:92 211031:85 "
+        "310121:83 001111:82 310032:78 001032:78 001020:76 311100:75 000322:72 001121:72 310030:69 311121:66 000122:66 211032:62 001311:61 310100:61 001030:60 310111:60 000310:60 111111:58 "
+        "000020:57 000031:57 110310:57 220332:53 003330:52 321100:50 211030:49 223300:49 310122:47 000120:46 310120:45 000232:45 210031:44 000330:44 "
+    )
+    rows = [(*map(int, v), int(n)) for v, n in (x.split(":") for x in counts.split())]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} int" for c in [*places.LEVELS, "n"])).selectExpr("1L AS i", "2L AS j", *places.LEVELS, "explode(sequence(1, n))").drop("col")
+    kept = places.linked(df).where("street = 0 AND number = 0 AND colonia = 0 AND city = 3 AND venue = 3 AND kind = 0").count()
+    assert kept == 44
+
+
 def test_places_plans_are_small(spark, monkeypatch):
     # The driver holds every plan while it runs: none has many joins, and no exploded side is gathered as a small table.
     plans = []
