@@ -315,6 +315,22 @@ def test_range_candidates_equal_a_loop(spark):
     assert {tuple(x) for x in linking.candidates_by_range(r).collect()} == want
 
 
+def test_certain_pairs_come_without_candidates(spark, monkeypatch):
+    # Equal records are one class, with the same result as the gate over all candidates; none of these are listed.
+    rows = [*made(150, 9), *[(1000 + i, *made(20, 4)[i % 7][1:]) for i in range(60)]]
+    r = linking.prepare(spark.createDataFrame(rows, PREP))
+    fit = linking.gated(linking.candidates(r), r).where("geo_ok AND certain").cache()
+    want = {tuple(x) for x in fit.select("inc", "cand", "leaf").collect()}
+    capped = {tuple(x) for x in linking.capped(fit, 3).select("inc", "cand", "rank").collect()}
+    decided = {tuple(x) for x in linking.decided(fit).collect()}
+    monkeypatch.setattr(linking, "candidates", None)
+    monkeypatch.setattr(linking, "gated", None)
+    got = [tuple(x) for x in linking.certain(r).select("inc", "cand", "leaf").collect()]
+    assert len(want) > 100 and len(got) == len(want) and set(got) == want
+    assert {tuple(x) for x in linking.certain_capped(r, linking.LinkConfig(cap=3)).collect()} == capped
+    assert {tuple(x) for x in linking.certain_decided(r).collect()} == decided
+
+
 # --- streaming ---------------------------------------------------------------------------------------------------------------
 
 def test_claims(spark):
