@@ -276,8 +276,7 @@ def _(s, d):
 
 @query("t2_capped", CERTAIN + "SELECT inc, cand, rank FROM (SELECT inc, cand, row_number() OVER (PARTITION BY inc ORDER BY published DESC NULLS LAST, cand) AS rank FROM p) WHERE rank <= 12")
 def _(s, d):
-    r = records(s, d)
-    return linking.capped(linking.gated(linking.candidates(r, keys=FINE), r).where("geo_ok AND certain")).select("inc", "cand", "rank")
+    return linking.certain_capped(records(s, d))
 
 
 @query("f11_leaf_relation", CERTAIN + """SELECT inc, cand, 'misma' AS leaf FROM p""")
