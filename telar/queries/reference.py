@@ -260,7 +260,6 @@ CERTAIN = WINDOWS + f""", x AS (SELECT e.*, w.lo, w.slack, w.source FROM ev e JO
     p AS (SELECT a.event_id AS inc, b.event_id AS cand, b.day AS published FROM x a JOIN x b ON a.supertype = b.supertype AND a.event_type = b.event_type AND b.event_id < a.event_id
           AND ((a.level_7_id = b.level_7_id) OR (a.level_6_id = b.level_6_id AND a.source = 'extracted' AND b.source = 'extracted'))
           AND a.lo - INTERVAL 1 DAY <= b.lo AND b.lo <= a.lo + INTERVAL 1 DAY WHERE {GATE}) """
-FINE = "^l[67]:"  # all that the certain gate needs
 
 
 @query("f12_certain_pairs", CERTAIN + "SELECT inc, cand FROM p")
@@ -270,8 +269,7 @@ def _(s, d):
 
 @query("t7_decided", CERTAIN + "SELECT inc, first(cand ORDER BY published NULLS LAST, cand) AS match FROM p GROUP BY inc")
 def _(s, d):
-    r = records(s, d)
-    return linking.decided(linking.gated(linking.candidates(r, keys=FINE), r))
+    return linking.certain_decided(records(s, d))
 
 
 @query("t2_capped", CERTAIN + "SELECT inc, cand, rank FROM (SELECT inc, cand, row_number() OVER (PARTITION BY inc ORDER BY published DESC NULLS LAST, cand) AS rank FROM p) WHERE rank <= 12")
