@@ -331,6 +331,16 @@ def test_certain_pairs_come_without_candidates(spark, monkeypatch):
     assert {tuple(x) for x in linking.certain_decided(r).collect()} == decided
 
 
+def test_candidates_leave_the_join_as_they_are_found(spark):
+    # Pairs that meet under several keys and buckets are given once, without gathering them to be made distinct.
+    row = lambda i: (i, "s", "t", date(2024, 1, 1), date(2024, 2, 20), date(2023, 11, 5 + i % 3), 30, "_1", "_12", "_123", None, "_123x", None, 20.5 + i / 1000, -100.4, "qro", 6)
+    r = linking.prepare(spark.createDataFrame([row(i) for i in range(12)], PREP))
+    for found in linking.INDEXES.values():
+        got = [tuple(x) for x in found(r).collect()]
+        assert len(got) == len(set(got)) == 66
+        assert "Aggregate" not in found(r)._jdf.queryExecution().optimizedPlan().toString()
+
+
 # --- streaming ---------------------------------------------------------------------------------------------------------------
 
 def test_claims(spark):
