@@ -341,6 +341,13 @@ def test_candidates_leave_the_join_as_they_are_found(spark):
         assert "Aggregate" not in found(r)._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_referrals_equal_the_steps(spark):
+    r = linking.prepare(spark.createDataFrame(made(120, 7), PREP))
+    want = {(x.inc, x.cand, x["rank"]) for x in linking.referred(linking.gated(linking.candidates(r), r), 3).collect()}
+    got = [(x.inc, x.cand, x["rank"]) for x in linking.referrals(r, linking.LinkConfig(cap=3)).collect()]
+    assert want and len(got) == len(want) and set(got) == want
+
+
 # --- streaming ---------------------------------------------------------------------------------------------------------------
 
 def test_claims(spark):
